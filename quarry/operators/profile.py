@@ -26,3 +26,104 @@ def purchase_stats(purchases: DataFrame) -> DataFrame:
         [F.desc("top_product_count"), F.asc("product")], 1,
     ).withColumnRenamed("product", "top_product")
     return attach_row(totals, popular)
+
+
+def line_length_stats(docs: DataFrame, text_col: str = "text", min_len: int = 10) -> DataFrame:
+    """Line count, total / average line length, and the sum of doubled lengths
+    of lines longer than ``min_len`` (map -> filter -> map -> sum).
+
+    Lines come from exploding each text on newlines inside the scan stage; the
+    aggregates are partial per task, so only one row per task is shuffled.
+    """
+    lines = docs.select(F.explode(F.split(F.col(text_col), "\n")).alias("line"))
+    ln = F.length("line").cast("long")
+    return lines.agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(ln).alias("total_chars"),
+        F.round(F.avg(ln), 6).alias("avg_line_length"),
+        F.sum(F.when(ln > min_len, ln * 2)).alias("long_lines_doubled"),
+        F.count(F.when(ln > min_len, 1)).alias("n_long_lines"))
+
+
+def user_profile_counts(users: DataFrame) -> DataFrame:
+    """Users and distinct occupations / zips in one pass (no rescan per stat)."""
+    return users.agg(
+        F.count(F.lit(1)).alias("n_users"),
+        F.countDistinct("occupation").alias("n_occupations"),
+        F.countDistinct("zip").alias("n_zips"))
+
+
+def group_counts(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
+    """Reduce-by-key count, ordered by count then key (ties are stable)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
+            .orderBy(F.desc(count_col), F.asc(key)))
+
+
+def rating_summary(ratings: DataFrame, n_users: DataFrame, n_items: DataFrame) -> DataFrame:
+    """count / min / max / mean / exact median / population std, and ratings
+    per user and per item, all from one aggregate over the ratings.
+
+    ``n_users`` and ``n_items`` are one-row counts. The exact median uses the
+    counting ``percentile`` aggregate, whose buffer grows with the number of
+    distinct rating values (five here), not with the number of rows.
+    """
+    stats = ratings.agg(
+        F.count(F.lit(1)).alias("n_ratings"),
+        F.min("rating").alias("min_rating"),
+        F.max("rating").alias("max_rating"),
+        F.round(F.avg("rating"), 6).alias("mean_rating"),
+        F.percentile("rating", 0.5).alias("median_rating"),
+        F.round(F.stddev_pop("rating"), 6).alias("stddev_rating"))
+    out = attach_row(attach_row(stats, n_users), n_items)
+    return out.select(
+        "n_ratings", "min_rating", "max_rating", "mean_rating", "median_rating", "stddev_rating",
+        F.round(F.col("n_ratings") / F.col("n_users"), 6).alias("ratings_per_user"),
+        F.round(F.col("n_ratings") / F.col("n_items"), 6).alias("ratings_per_item"))
+
+
+def value_distribution(df: DataFrame, key: str) -> DataFrame:
+    """Count by value and its share of the total.
+
+    The share uses a window over the *grouped* rows (one row per distinct
+    value), so the unpartitioned window sees only the value domain.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(key, "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6)
+                         .alias("fraction"))
+
+
+def per_key_counts(df: DataFrame, key: str, count_col: str) -> DataFrame:
+    """Group then size: a count per key (map-side partial count, no group lists)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
+
+
+def density_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
+    """Fixed-width density histogram on [min, max] with ``bins`` bins.
+
+    Two aggregates: the global min/max (one row, attached to every row), then
+    a count per bin. The maximum falls in the last bin. density = n / (N * w).
+    """
+    rng = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_N"))
+    x = attach_row(df.select(value).filter(F.col(value).isNotNull()), rng)
+    width = (F.col("_hi") - F.col("_lo")) / bins
+    b = F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
+    b = F.when(width == 0, F.lit(0)).otherwise(b)
+    binned = x.select(b.alias("bin"), "_lo", "_hi", "_N")
+    return (binned.groupBy("bin", "_lo", "_hi", "_N").agg(F.count(F.lit(1)).alias("n"))
+            .select("bin",
+                    F.round(F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins, 6).alias("bin_lo"),
+                    F.round(F.col("_lo") + (F.col("bin") + 1) * (F.col("_hi") - F.col("_lo")) / bins, 6).alias("bin_hi"),
+                    "n",
+                    F.round(F.col("n") / (F.col("_N") * (F.col("_hi") - F.col("_lo")) / bins), 9).alias("density")))
+
+
+def impute_median(df: DataFrame, key: str, value: str, bad: Column, out_col: str) -> DataFrame:
+    """Replace bad values with the exact median of the good ones.
+
+    The median is one aggregate row attached to every row (a broadcast of one
+    row); the rows themselves are never shuffled.
+    """
+    med = df.filter(~bad).agg(F.percentile(value, 0.5).alias("_median"))
+    return (attach_row(df.select(key, value, bad.alias("_bad")), med)
+            .select(key, F.when(F.col("_bad"), F.col("_median")).otherwise(F.col(value)).alias(out_col),
+                    F.col("_bad").alias("was_imputed")))

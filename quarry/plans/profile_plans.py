@@ -21,3 +21,156 @@ SELECT * FROM totals LEFT JOIN top ON TRUE
 """)
 def purchase_stats(spark, sf_dir):
     return profile.purchase_stats(Tables(spark, sf_dir).purchases())
+
+
+@register("line_length_stats", """
+WITH l AS (SELECT CAST(length(line) AS BIGINT) AS ln
+           FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents))
+SELECT count(*) AS n_lines, CAST(sum(ln) AS BIGINT) AS total_chars,
+       round(avg(ln), 6) AS avg_line_length,
+       CAST(sum(CASE WHEN ln > 10 THEN ln * 2 END) AS BIGINT) AS long_lines_doubled,
+       count(CASE WHEN ln > 10 THEN 1 END) AS n_long_lines
+FROM l
+""")
+def line_length_stats(spark, sf_dir):
+    return profile.line_length_stats(Tables(spark, sf_dir).documents)
+
+
+@register("user_profile_counts", """
+SELECT count(*) AS n_users, count(DISTINCT c_mktsegment) AS n_occupations,
+       count(DISTINCT c_nationkey) AS n_zips
+FROM customer
+""")
+def user_profile_counts(spark, sf_dir):
+    return profile.user_profile_counts(Tables(spark, sf_dir).users())
+
+
+@register("segment_counts", """
+SELECT c_mktsegment AS occupation, count(*) AS n FROM customer GROUP BY c_mktsegment
+""")
+def segment_counts(spark, sf_dir):
+    return profile.group_counts(Tables(spark, sf_dir).users(), "occupation")
+
+
+RATINGS_SQL = """
+ratings AS (
+  SELECT o.o_custkey AS "user", l.l_partkey AS item,
+         CAST(ceil(avg(l.l_quantity) / 10) AS DOUBLE) AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY o.o_custkey, l.l_partkey)"""
+
+
+@register("rating_summary", f"""
+WITH {RATINGS_SQL}
+SELECT count(*) AS n_ratings, min(rating) AS min_rating, max(rating) AS max_rating,
+       round(avg(rating), 6) AS mean_rating, quantile_cont(rating, 0.5) AS median_rating,
+       round(stddev_pop(rating), 6) AS stddev_rating,
+       round(count(*) / (SELECT count(*) FROM customer), 6) AS ratings_per_user,
+       round(count(*) / (SELECT count(*) FROM part), 6) AS ratings_per_item
+FROM ratings
+""")
+def rating_summary(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    from pyspark.sql import functions as F
+    return profile.rating_summary(
+        t.ratings(),
+        t.customer.agg(F.count(F.lit(1)).alias("n_users")),
+        t.part.agg(F.count(F.lit(1)).alias("n_items")))
+
+
+@register("rating_distribution", f"""
+WITH {RATINGS_SQL}
+SELECT rating, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS fraction
+FROM ratings GROUP BY rating
+""")
+def rating_distribution(spark, sf_dir):
+    return profile.value_distribution(Tables(spark, sf_dir).ratings(), "rating")
+
+
+@register("ratings_per_user", f"""
+WITH {RATINGS_SQL}
+SELECT "user", count(*) AS n_ratings FROM ratings GROUP BY "user"
+""")
+def ratings_per_user(spark, sf_dir):
+    return profile.per_key_counts(Tables(spark, sf_dir).ratings(), "user", "n_ratings")
+
+
+@register("activity_histogram", """
+WITH r AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, count(c_acctbal) AS nn FROM customer),
+b AS (
+  SELECT CASE WHEN (hi - lo) / 20 = 0 THEN 0
+              ELSE CAST(least(floor((c_acctbal - lo) / ((hi - lo) / 20)), 19) AS INTEGER) END AS bin,
+         lo, hi, nn
+  FROM customer, r WHERE c_acctbal IS NOT NULL)
+SELECT bin, round(lo + bin * (hi - lo) / 20, 6) AS bin_lo, round(lo + (bin + 1) * (hi - lo) / 20, 6) AS bin_hi,
+       count(*) AS n, round(count(*) / (nn * (hi - lo) / 20), 9) AS density
+FROM b GROUP BY bin, lo, hi, nn
+""")
+def activity_histogram(spark, sf_dir):
+    return profile.density_histogram(Tables(spark, sf_dir).users(), "balance", 20)
+
+
+@register("release_age_counts", """
+WITH y AS (
+  SELECT coalesce(TRY_CAST(right(strftime(o_orderdate, '%d-%b-%Y'), 4) AS INTEGER), 1900) AS yr FROM orders)
+SELECT 1998 - yr AS age, count(*) AS n FROM y WHERE yr <> 1900 GROUP BY 1998 - yr
+""")
+def release_age_counts(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions.parsing import MISSING_YEAR, year_suffix
+    o = Tables(spark, sf_dir).orders
+    yr = o.select(year_suffix(F.date_format("o_orderdate", "dd-MMM-yyyy")).alias("yr"))
+    ages = yr.filter(F.col("yr") != MISSING_YEAR).select((F.lit(1998) - F.col("yr")).alias("age"))
+    return profile.per_key_counts(ages, "age", "n")
+
+
+@register("url_suffix_parse", r"""
+WITH p AS (
+  SELECT page_id,
+         TRY_CAST(regexp_extract(url, '/(\d+)', 1) AS BIGINT) AS path_number,
+         regexp_extract(url, '/([a-z][a-z])/', 1) AS url_lang,
+         trim(regexp_extract(html, '<title>(.*?)</title>', 1)) AS raw_title
+  FROM pages)
+SELECT page_id, path_number, url_lang, raw_title,
+       CASE WHEN regexp_matches(raw_title, '\(\w+\)')
+            THEN trim(regexp_extract(raw_title, '^(.*?)\(\w+\)', 1)) ELSE raw_title END AS title
+FROM p
+""")
+def url_suffix_parse(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions.parsing import title_before_parenthesis
+    p = Tables(spark, sf_dir).pages
+    base = p.select(
+        "page_id",
+        F.regexp_extract("url", r"/(\d+)", 1).try_cast("bigint").alias("path_number"),
+        F.regexp_extract("url", r"/([a-z][a-z])/", 1).alias("url_lang"),
+        F.trim(F.regexp_extract("html", r"<title>(.*?)</title>", 1)).alias("raw_title"))
+    return base.withColumn("title", title_before_parenthesis(F.col("raw_title")))
+
+
+@register("impute_median", """
+WITH m AS (SELECT quantile_cont(c_acctbal, 0.5) AS med FROM customer WHERE NOT (c_acctbal < 0))
+SELECT c_custkey AS "user", CASE WHEN c_acctbal < 0 THEN med ELSE c_acctbal END AS balance_imputed,
+       c_acctbal < 0 AS was_imputed
+FROM customer, m
+""")
+def impute_median(spark, sf_dir):
+    from pyspark.sql import functions as F
+    u = Tables(spark, sf_dir).users()
+    return profile.impute_median(u, "user", "balance", F.col("balance") < 0, "balance_imputed")
+
+
+@register("time_of_day", """
+WITH h AS (SELECT CAST(hour(ts) AS INTEGER) AS hour FROM events)
+SELECT hour, CASE WHEN hour BETWEEN 7 AND 11 THEN 'morning' WHEN hour BETWEEN 12 AND 13 THEN 'lunch'
+                  WHEN hour BETWEEN 14 AND 17 THEN 'afternoon' WHEN hour BETWEEN 18 AND 22 THEN 'evening'
+                  ELSE 'night' END AS time_of_day,
+       count(*) AS n
+FROM h GROUP BY hour
+""")
+def time_of_day(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from ..functions.timeparts import epoch_seconds, hour_of_epoch, time_of_day as tod
+    ev = Tables(spark, sf_dir).events
+    h = ev.select(hour_of_epoch(epoch_seconds(F.col("ts"))).cast("int").alias("hour"))
+    return h.groupBy("hour").agg(F.count(F.lit(1)).alias("n")).withColumn("time_of_day", tod(F.col("hour")))
