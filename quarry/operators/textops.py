@@ -24,3 +24,67 @@ def binary_term_vectors(terms: DataFrame, dictionary: DataFrame, key: str = "ite
     """Sparse binary vectors in long form: (key, term_index, 1.0)."""
     return (terms.join(dictionary, "term").select(key, "term_index").distinct()
             .withColumn("value", F.lit(1.0)))
+
+
+def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None) -> DataFrame:
+    """Total and distinct tokens of a tokenizer over all documents; each
+    ``extra_filters`` entry adds a distinct count of tokens passing a predicate."""
+    toks = docs.select(F.explode(tokens_expr).alias("tok"))
+    aggs = [F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("tok").alias("n_distinct")]
+    for name, pred in (extra_filters or {}).items():
+        aggs.append(F.countDistinct(F.when(pred(F.col("tok")), F.col("tok"))).alias(name))
+    return toks.agg(*aggs)
+
+
+def doc_terms(docs: DataFrame, key: str, tokens_expr) -> DataFrame:
+    """(key, term, tf): term frequency per document, aggregated map-side."""
+    return (docs.select(key, F.explode(tokens_expr).alias("term"))
+            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def corpus_counts(tf: DataFrame) -> DataFrame:
+    """(term, n, df): corpus frequency and document frequency per term."""
+    return tf.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+
+
+def prune_rare(tf: DataFrame, counts: DataFrame, rare_below: int) -> DataFrame:
+    """Drop terms whose corpus count is below ``rare_below`` with a left anti
+    join against the rare set (never collected to the driver)."""
+    rare = counts.filter(F.col("n") < rare_below).select("term")
+    return tf.join(rare, "term", "left_anti")
+
+
+def idf_weights(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
+    """(term, df, idf) with idf = ln((N + 1) / (df + 1)) as ``ml.feature.IDF``.
+
+    ``n_docs`` is a one-row count (documents with no tokens included).
+    """
+    from .common import attach_row
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return attach_row(df, n_docs).select(
+        "term", "df", F.log((F.col("_N") + 1) / (F.col("df") + 1)).alias("idf"))
+
+
+def tfidf(tf: DataFrame, idf: DataFrame) -> DataFrame:
+    """(key, term, tf, idf, tfidf) long table; join on term (AQE splits
+    partitions of hot terms)."""
+    return tf.join(idf.select("term", "idf"), "term").withColumn("tfidf", F.col("tf") * F.col("idf"))
+
+
+def sparse_norms(weights: DataFrame, key: str, w: str) -> DataFrame:
+    return weights.groupBy(key).agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("norm"))
+
+
+def sparse_cosine(query: DataFrame, candidates: DataFrame, key: str, w: str) -> DataFrame:
+    """Cosine of one sparse query vector (term, w) with every candidate
+    (key, term, w): a join on term sums the shared products; norms are
+    per-key aggregates. Candidates with no shared term get 0."""
+    qn = query.agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_qn"))
+    q = query.select("term", F.col(w).alias("_qw"))
+    dots = (candidates.join(q, "term")
+            .groupBy(key).agg(F.sum(F.col(w) * F.col("_qw")).alias("_dot")))
+    from .common import attach_row
+    norms = sparse_norms(candidates, key, w)
+    out = attach_row(norms.join(dots, key, "left"), qn)
+    return out.select(key, (F.coalesce(F.col("_dot"), F.lit(0.0)) / (F.col("norm") * F.col("_qn")))
+                      .alias("cosine"))

@@ -7,3 +7,4 @@ Importing this package registers every plan; ``catalog.queries()`` and
 from . import catalog  # noqa: F401
 from . import profile_plans  # noqa: F401
 from . import feature_plans  # noqa: F401
+from . import text_plans  # noqa: F401
