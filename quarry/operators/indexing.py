@@ -37,3 +37,66 @@ def dense_index(keys: DataFrame, key: str, index_col: str = "index",
         .alias("_off"))
     return (ranged.join(F.broadcast(offsets), "_pid")
             .select(key, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos")).alias(index_col)))
+
+
+def ordered_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
+                  num_partitions: int | None = None) -> DataFrame:
+    """All columns of ``df`` plus a 0-based position in the global order of
+    ``order_cols`` (which must be unique per row), computed like
+    ``dense_index``: range partitions, local positions, per-partition offsets."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in order_cols]
+    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_pid", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(index_col, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
+            .drop("_pid", "_mid", "_pos", "_off"))
+
+
+def rank_within_group(df: DataFrame, group: str, order: str, out: str = "rank_in_group",
+                      bucket_width: int = 4096) -> DataFrame:
+    """1-based position of each row inside its group, ordered by the integer
+    column ``order`` (unique within a group), without putting a whole group in
+    one task.
+
+    Rows are bucketed by ``order // bucket_width``; a count per (group, bucket)
+    gives bucket offsets (one row per bucket, so a hot group is split over
+    many buckets), and the window runs per (group, bucket).
+    """
+    b = df.withColumn("_b", F.floor(F.col(order) / bucket_width))
+    per_bucket = b.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    offsets = per_bucket.select(
+        group, "_b",
+        F.coalesce(F.sum("_bn").over(Window.partitionBy(group).orderBy("_b")
+                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_boff"))
+    local = F.row_number().over(Window.partitionBy(group, "_b").orderBy(order))
+    return (b.withColumn("_local", local).join(offsets, [group, "_b"])
+            .withColumn(out, F.col("_boff") + F.col("_local"))
+            .drop("_b", "_local", "_boff"))
+
+
+def running_totals(df: DataFrame, order: str, value_cols: list[str],
+                   num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``value_cols`` in the global order of the
+    unique column ``order``: per-range-partition window sums plus the totals
+    of all earlier partitions (one row per partition)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, F.col(order)).withColumn("_pid", F.spark_partition_id())
+    w_local = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in value_cols])
+    totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
+    w_prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_tot_{c}").over(w_prev), F.lit(0)).alias(f"_off_{c}")
+                                      for c in value_cols])
+    out = local.join(F.broadcast(offsets), "_pid")
+    for c in value_cols:
+        out = out.withColumn(f"cum_{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
+    return out.drop("_pid", *[f"_loc_{c}" for c in value_cols], *[f"_off_{c}" for c in value_cols])
