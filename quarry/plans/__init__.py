@@ -9,3 +9,4 @@ from . import profile_plans  # noqa: F401
 from . import feature_plans  # noqa: F401
 from . import text_plans  # noqa: F401
 from . import recommend_plans  # noqa: F401
+from . import model_plans  # noqa: F401

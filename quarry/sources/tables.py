@@ -57,6 +57,14 @@ class Tables:
         """Explicit ratings (user, item, rating 1..5) from orders x lineitem."""
         return ratings_from_orders(self.orders, self.lineitem)
 
+    def page_classification(self) -> DataFrame:
+        """Labelled documents with numeric text features (label = quality)."""
+        return page_classification(self.labels, self.documents)
+
+    def hourly_demand(self) -> DataFrame:
+        """Events per hour with calendar features (label = count)."""
+        return hourly_demand(self.events)
+
     def posts(self) -> DataFrame:
         """(doc_id, topic, text): documents, topic = source."""
         return self.documents.select("doc_id", F.col("source").alias("topic"), "text", "lang")
@@ -83,3 +91,31 @@ def ratings_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return (li.join(od, li.l_orderkey == od.o_orderkey)
             .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
             .agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating")))
+
+
+def page_classification(labels: DataFrame, documents: DataFrame) -> DataFrame:
+    """(doc_id, label, category, f0..f3, features): length, words, lines and
+    mean word length, scaled by fixed constants, as ``array<double>``."""
+    d = documents.select(
+        "doc_id", F.col("source").alias("category"),
+        (F.col("n_chars") / 1000.0).alias("f0"),
+        (F.size(F.filter(F.split("text", " "), lambda t: t != "")) / 100.0).alias("f1"),
+        (F.size(F.split("text", "\n")) / 10.0).alias("f2"),
+        (F.col("n_chars") / F.greatest(F.size(F.filter(F.split("text", " "), lambda t: t != "")), F.lit(1))
+         / 10.0).alias("f3"))
+    out = labels.select("doc_id", F.col("quality").cast("double").alias("label")).join(d, "doc_id")
+    return out.withColumn("features", F.array("f0", "f1", "f2", "f3"))
+
+
+def hourly_demand(events: DataFrame) -> DataFrame:
+    """(hour_start, hr, weekday 0=Sunday, day, cnt, features) per event hour."""
+    h = events.groupBy(F.date_trunc("hour", F.col("ts")).alias("hour_start")).agg(
+        F.count(F.lit(1)).cast("double").alias("cnt"))
+    h = h.select("hour_start",
+                 F.hour("hour_start").alias("hr"),
+                 (F.dayofweek("hour_start") - 1).alias("weekday"),
+                 F.dayofmonth("hour_start").alias("day"),
+                 "cnt")
+    return h.withColumn("features", F.array(
+        F.col("hr") / 23.0, F.col("weekday") / 6.0,
+        F.when(F.col("weekday").isin(0, 6), 1.0).otherwise(0.0), F.col("day") / 31.0))
