@@ -10,3 +10,4 @@ from . import feature_plans  # noqa: F401
 from . import text_plans  # noqa: F401
 from . import recommend_plans  # noqa: F401
 from . import model_plans  # noqa: F401
+from . import cluster_plans  # noqa: F401
