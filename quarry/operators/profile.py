@@ -127,3 +127,21 @@ def impute_median(df: DataFrame, key: str, value: str, bad: Column, out_col: str
     return (attach_row(df.select(key, value, bad.alias("_bad")), med)
             .select(key, F.when(F.col("_bad"), F.col("_median")).otherwise(F.col(value)).alias(out_col),
                     F.col("_bad").alias("was_imputed")))
+
+
+def purchase_stats_by(purchases: DataFrame, key: str) -> DataFrame:
+    """``purchase_stats`` per value of ``key`` (e.g. per day or per batch).
+
+    The most popular product per key is chosen by ``row_number() = 1`` over
+    (key, product) counts; the optimizer adds a partial per-key limit before
+    the shuffle, so a hot key does not ship all its products.
+    """
+    totals = purchases.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_purchases"),
+        F.countDistinct("user").alias("n_users"),
+        F.sum(money("price")).cast("double").alias("revenue"))
+    per_product = purchases.groupBy(key, "product").agg(F.count(F.lit(1)).alias("top_product_count"))
+    w = Window.partitionBy(key).orderBy(F.desc("top_product_count"), F.asc("product"))
+    top = (per_product.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
+           .select(key, F.col("product").alias("top_product"), "top_product_count"))
+    return totals.join(top, key, "left")

@@ -11,3 +11,5 @@ from . import text_plans  # noqa: F401
 from . import recommend_plans  # noqa: F401
 from . import model_plans  # noqa: F401
 from . import cluster_plans  # noqa: F401
+from . import ml_plans  # noqa: F401
+from . import stream_plans  # noqa: F401
