@@ -125,7 +125,9 @@ def gd_fit(df: DataFrame, features: str = "features", label: str = "label", loss
             d = len(w0) - (1 if intercept else 0) if w0 else 0
         else:
             d = int(first["d"])
-        w = list(w0) if w0 is not None else [0.0] * (d + (1 if intercept else 0))
+        # zero start; the intercept weight starts at 1.0 because the bias
+        # column is appended to the initial weights as well (library convention)
+        w = list(w0) if w0 is not None else [0.0] * d + ([1.0] if intercept else [])
         hist = [list(w)]
         if first is None:
             return LinearModel(w, intercept, loss, hist)

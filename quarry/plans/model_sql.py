@@ -31,7 +31,8 @@ def gd_ctes(data: str, d: int, loss: str, step: float, iters: int, reg: str, lam
     relation with columns x0..x{d-1}, label."""
     D = d + (1 if intercept else 0)
     xs = [f"x{j}" for j in range(d)] + (["1.0"] if intercept else [])
-    ctes = [f"{prefix}0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS a{j}" for j in range(D)) + ")"]
+    init = ["0.0"] * d + (["1.0"] if intercept else [])
+    ctes = [f"{prefix}0 AS (SELECT " + ", ".join(f"{init[j]}::DOUBLE AS a{j}" for j in range(D)) + ")"]
     for i in range(1, iters + 1):
         p = f"{prefix}{i - 1}"
         m = " + ".join(f"{p}.a{j} * {xs[j]}" for j in range(D))
