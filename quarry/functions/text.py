@@ -42,3 +42,23 @@ def normalised_tokens(text: Column) -> Column:
 def topic_from_path(path: Column) -> Column:
     """Parent directory name of a file path."""
     return F.element_at(F.split(path, "/"), -2)
+
+
+# Token-level predicates: used after ``explode`` so that the filters run as
+# ordinary codegen'd expressions instead of lambdas inside array functions.
+SPLITTERS = {"whitespace": " ", "nonword": r"\W+"}
+
+
+def token_column(text: Column, kind: str) -> Column:
+    """Array of raw tokens of a tokenizer (lower-cased; may hold empties)."""
+    if kind == "whitespace":
+        return F.split(F.lower(text), " ")
+    return F.split(F.lower(text), r"\W+")
+
+
+def keep_token(t: Column, kind: str) -> Column:
+    """Row-level filter matching the array form of each tokenizer."""
+    ok = t != ""
+    if kind == "normalised":
+        ok = ok & ~t.rlike("[0-9]") & ~t.isin(*STOPWORDS) & (F.length(t) >= MIN_TOKEN_LENGTH)
+    return ok

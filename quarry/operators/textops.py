@@ -26,20 +26,39 @@ def binary_term_vectors(terms: DataFrame, dictionary: DataFrame, key: str = "ite
             .withColumn("value", F.lit(1.0)))
 
 
+def explode_tokens(docs: DataFrame, key: str | None, text: str, kind: str, out: str = "term") -> DataFrame:
+    """(key, term) rows of a tokenizer: ``whitespace``, ``nonword`` or
+    ``normalised`` (non-word split, no digits, no stopwords, length >= 2).
+
+    Tokens are exploded first and filtered with plain column predicates, which
+    stay inside whole-stage codegen (array lambdas would not).
+    """
+    from ..functions import text as T
+    raw = T.token_column(F.col(text), "whitespace" if kind == "whitespace" else "nonword")
+    cols = ([key] if key else []) + [F.explode(raw).alias(out)]
+    return docs.select(*cols).filter(T.keep_token(F.col(out), kind))
+
+
 def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None) -> DataFrame:
     """Total and distinct tokens of a tokenizer over all documents; each
-    ``extra_filters`` entry adds a distinct count of tokens passing a predicate."""
-    toks = docs.select(F.explode(tokens_expr).alias("tok"))
+    ``extra_filters`` entry adds a distinct count of tokens passing a predicate.
+    ``tokens_expr`` is an array column, or a DataFrame of exploded ``tok``."""
+    toks = tokens_expr if isinstance(tokens_expr, DataFrame) else docs.select(F.explode(tokens_expr).alias("tok"))
     aggs = [F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("tok").alias("n_distinct")]
     for name, pred in (extra_filters or {}).items():
         aggs.append(F.countDistinct(F.when(pred(F.col("tok")), F.col("tok"))).alias(name))
     return toks.agg(*aggs)
 
 
-def doc_terms(docs: DataFrame, key: str, tokens_expr) -> DataFrame:
-    """(key, term, tf): term frequency per document, aggregated map-side."""
-    return (docs.select(key, F.explode(tokens_expr).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+def doc_terms(docs: DataFrame, key: str, tokens_expr=None, kind: str | None = None,
+              text: str = "text") -> DataFrame:
+    """(key, term, tf): term frequency per document, aggregated map-side.
+    Give either an array column ``tokens_expr`` or a tokenizer ``kind``."""
+    if kind is not None:
+        toks = explode_tokens(docs, key, text, kind)
+    else:
+        toks = docs.select(key, F.explode(tokens_expr).alias("term"))
+    return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def corpus_counts(tf: DataFrame) -> DataFrame:
@@ -88,3 +107,13 @@ def sparse_cosine(query: DataFrame, candidates: DataFrame, key: str, w: str) ->
     out = attach_row(norms.join(dots, key, "left"), qn)
     return out.select(key, (F.coalesce(F.col("_dot"), F.lit(0.0)) / (F.col("norm") * F.col("_qn")))
                       .alias("cosine"))
+
+
+def tfidf_from_df(tf: DataFrame, n_docs: DataFrame) -> DataFrame:
+    """(doc, term, tf, df, idf, tfidf) from a term table that already carries
+    each term's document frequency; ``n_docs`` is a one-row count ``_N``."""
+    from .common import attach_row
+    return attach_row(tf, n_docs).select(
+        *[c for c in tf.columns],
+        F.log((F.col("_N") + 1) / (F.col("df") + 1)).alias("idf")).withColumn(
+        "tfidf", F.col("tf") * F.col("idf"))

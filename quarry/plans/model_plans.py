@@ -139,9 +139,10 @@ def _text_nb(t, smoothing=0.1):
     lab = encode.category_index(d, "lang", "label")
     docs = d.select("doc_id", "lang").join(lab, "lang").select("doc_id", F.col("label").cast("double").alias("label"))
     tf = _pruned_tf(d)
-    vocab = textops.term_dictionary(tf)
-    long = tf.join(vocab, "term").select("doc_id", F.col("term_index").alias("j"), F.col("tf").cast("double").alias("x"))
-    v = vocab.count()   # vocabulary size: a number, not the vocabulary
+    # features are keyed by the term itself: naive Bayes needs only the
+    # vocabulary size, not a dense index
+    long = tf.select("doc_id", F.col("term").alias("j"), F.col("tf").cast("double").alias("x"))
+    v = tf.select("term").distinct().count()
     model = bayes.fit(docs, long, v, smoothing)
     return docs, bayes.predict(model, docs, long)
 

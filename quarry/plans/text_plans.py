@@ -28,16 +28,30 @@ idf AS (SELECT term, count(*) AS df,
         FROM tf GROUP BY term)"""
 
 
-def _pruned_tf(docs):
-    tf = textops.doc_terms(docs, "doc_id", T.normalised_tokens(F.col("text")))
-    return textops.prune_rare(tf, textops.corpus_counts(tf), T.RARE_BELOW)
+def _term_table(docs):
+    """(doc_id, term, tf) of the full tokenizer, written once to the shared
+    folder: every later step scans it instead of re-tokenizing the text."""
+    from ..sources.files import materialise
+    return materialise(textops.doc_terms(docs, "doc_id", kind="normalised"), "term-table")
+
+
+def _pruned_tf(docs, tf=None):
+    """(doc_id, term, tf, df) without rare terms (corpus count < 2).
+
+    One aggregate gives each term's corpus count and document frequency; one
+    join on term keeps the frequent terms and carries df along, so pruning
+    and IDF share a single shuffle of the aggregated rows.
+    """
+    tf = tf if tf is not None else _term_table(docs)
+    stats = textops.corpus_counts(tf).filter(F.col("n") >= T.RARE_BELOW).select("term", "df")
+    return tf.join(stats, "term")
 
 
 def _tfidf(t):
     docs = t.documents
     tf = _pruned_tf(docs)
     n_docs = docs.agg(F.count(F.lit(1)).alias("_N"))
-    return textops.tfidf(tf, textops.idf_weights(tf, n_docs))
+    return textops.tfidf_from_df(tf, n_docs)
 
 
 @register("group_topic_counts", """
@@ -57,7 +71,7 @@ FROM (SELECT unnest({_WS}) AS tok FROM documents)
 """)
 def token_counts_whitespace(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
-    return textops.token_stats(d, T.whitespace_tokens(F.col("text")))
+    return textops.token_stats(d, textops.explode_tokens(d, None, "text", "whitespace", "tok"))
 
 
 @register("token_counts_nonword", f"""
@@ -67,8 +81,8 @@ FROM (SELECT unnest({_NW}) AS tok FROM documents)
 """)
 def token_counts_nonword(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
-    return textops.token_stats(d, T.nonword_tokens(F.col("text")),
-                               {"n_distinct_no_digits": lambda c: c.rlike(T.NO_DIGITS)})
+    return textops.token_stats(d, textops.explode_tokens(d, None, "text", "nonword", "tok"),
+                               {"n_distinct_no_digits": lambda c: ~c.rlike("[0-9]")})
 
 
 @register("top_tokens", f"""
@@ -77,7 +91,7 @@ GROUP BY tok ORDER BY n DESC, term LIMIT 20
 """)
 def top_tokens(spark, sf_dir):
     d = Tables(spark, sf_dir).documents
-    counts = (d.select(F.explode(T.normalised_tokens(F.col("text"))).alias("term"))
+    counts = (textops.explode_tokens(d, None, "text", "normalised")
               .groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     return top_k(counts, [F.desc("n"), F.asc("term")], 20)
 

@@ -68,3 +68,15 @@ def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: later jobs scan the files (with real file-size statistics
+    for join planning) instead of recomputing the lineage, and a lost
+    executor re-reads files rather than redoing the work."""
+    import uuid
+    from ..session import scratch_path
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

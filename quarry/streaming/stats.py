@@ -42,18 +42,19 @@ def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None
 
 
 def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
-               run_dir: str | None = None) -> DataFrame:
+               run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
     """Running (purchases, revenue) per user kept in the streaming state store
     (update mode): each batch emits only the users it changed, with their new
     totals; the sink keeps (user, totals, batch_id) and the current state is
     the latest row per user. State is kept for every user seen (no expiry).
+    The final state does not depend on how the days are cut into batches.
     """
     run = run_dir or new_run_dir(spark, "user-state")
     src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
                        "day", f"{run}/source")
     schema = spark.read.parquet(src).schema
     sink = f"{run}/sink"
-    running = (read_stream(spark, src, schema)
+    running = (read_stream(spark, src, schema, files_per_trigger)
                .groupBy("user").agg(F.count(F.lit(1)).alias("n_purchases"),
                                     F.sum(F.col("price").cast("decimal(18,2)")).alias("revenue")))
 
