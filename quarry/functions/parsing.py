@@ -27,3 +27,17 @@ def strip_quotes(s: Column) -> Column:
 def missing_to_zero(s: Column, marker: str = "?") -> Column:
     """Missing-value marker -> 0.0, otherwise the parsed double."""
     return F.when(s == marker, F.lit(0.0)).otherwise(s.try_cast("double"))
+
+
+def parse_labelled_point(line: Column) -> tuple[Column, Column]:
+    """``"y<TAB>x1,x2,..."`` -> (label double, features array<double>)."""
+    parts = F.split(line, "\t", 2)
+    label = parts.getItem(0).cast("double")
+    feats = F.transform(F.split(parts.getItem(1), ","), lambda x: x.cast("double"))
+    return label, feats
+
+
+def format_labelled_point(label: Column, features: Column) -> Column:
+    """Inverse of ``parse_labelled_point`` (full precision text)."""
+    return F.concat(label.cast("string"), F.lit("\t"),
+                    F.array_join(F.transform(features, lambda x: x.cast("string")), ","))

@@ -38,39 +38,28 @@ def binary_areas(df: DataFrame, score: str, label: str) -> DataFrame:
     threshold). Trapezoids between consecutive points.
 
     Counts per distinct score are one aggregate; cumulative counts use range
-    partitions with per-partition offsets, not a one-task window. The final
-    sum over consecutive points pairs each threshold with its predecessor by
-    a join on the dense threshold index.
+    partitions with per-partition offsets (not a one-task window). The
+    previous point of every threshold is its cumulative count minus its own
+    count, so each trapezoid is a row-local expression and the areas are one
+    final aggregate. The lowest threshold holds every row, so the curve ends
+    at (1, 1) by itself.
     """
+    from .common import attach_row
     pos = (F.col(label) > 0.5).cast("long")
     per = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(pos).alias("tp"), F.sum(1 - pos).alias("fp"))
-    per = per.withColumn("neg_s", -F.col("s"))
-    cum = running_totals(per, "neg_s", ["tp", "fp"])
+    cum = running_totals(per.withColumn("neg_s", -F.col("s")), "neg_s", ["tp", "fp"])
     tot = per.agg(F.sum("tp").alias("P"), F.sum("fp").alias("N"))
-    from .common import attach_row
-    pts = attach_row(cum, tot).select(
-        "neg_s",
-        (F.col("cum_fp") / F.col("N")).alias("fpr"),
-        (F.col("cum_tp") / F.col("P")).alias("tpr"),
-        (F.col("cum_tp") / (F.col("cum_tp") + F.col("cum_fp"))).alias("precision"))
-    # predecessor of each point in threshold order (first point's predecessor is the origin)
-    from .indexing import ordered_index
-    idx = ordered_index(pts, ["neg_s"], "i")
-    prev = idx.select((F.col("i") + 1).alias("i"), F.col("fpr").alias("pfpr"), F.col("tpr").alias("ptpr"),
-                      F.col("precision").alias("pprec"))
-    j = idx.join(prev, "i", "left")
-    roc = (F.col("fpr") - F.coalesce("pfpr", F.lit(0.0))) * (F.col("tpr") + F.coalesce("ptpr", F.lit(0.0))) / 2
-    # PR: recall = tpr; the first segment starts at (0, precision of the first point)
-    pr = (F.col("tpr") - F.coalesce("ptpr", F.lit(0.0))) * \
-        (F.col("precision") + F.coalesce("pprec", F.col("precision"))) / 2
-    # ROC closes at (1, 1)
-    last = attach_row(
-        idx.agg(F.max_by(F.struct("fpr", "tpr"), "i").alias("_l")), tot).select(
-        ((F.lit(1.0) - F.col("_l.fpr")) * (F.lit(1.0) + F.col("_l.tpr")) / 2).alias("_tail"))
-    areas = j.agg(F.sum(roc).alias("_roc"), F.sum(pr).alias("area_under_pr"))
-    return attach_row(areas, last).select(
-        (F.col("_roc") + F.coalesce(F.col("_tail"), F.lit(0.0))).alias("area_under_roc"), "area_under_pr")
+    c = attach_row(cum, tot)
+    ctp, cfp = F.col("cum_tp"), F.col("cum_fp")
+    ptp, pfp = ctp - F.col("tp"), cfp - F.col("fp")
+    fpr, tpr = cfp / F.col("N"), ctp / F.col("P")
+    pfpr, ptpr = pfp / F.col("N"), ptp / F.col("P")
+    prec = ctp / (ctp + cfp)
+    pprec = F.when(ptp + pfp > 0, ptp / (ptp + pfp)).otherwise(prec)
+    roc = (fpr - pfpr) * (tpr + ptpr) / 2
+    pr = (tpr - ptpr) * (prec + pprec) / 2
+    return c.agg(F.sum(roc).alias("area_under_roc"), F.sum(pr).alias("area_under_pr"))
 
 
 def weighted_f_measure(df: DataFrame, pred: str = "prediction", label: str = "label") -> DataFrame:

@@ -56,3 +56,21 @@ def sweep(params: Iterable, fit_and_score: Callable[[object], dict], spark, sche
     (param, metrics) rows gathered into one small DataFrame."""
     rows = [fit_and_score(p) for p in params]
     return spark.createDataFrame(rows, schema)
+
+
+def gd_sweep(train: DataFrame, test: DataFrame, grid: list[tuple[str, object, dict]],
+             score: Callable[[object, DataFrame], float]) -> list[tuple]:
+    """Fit ``gd_fit`` once per grid entry (name, value, settings) on the
+    persisted training split and score it on both splits."""
+    from . import linear
+    train = train.persist()
+    test = test.persist()
+    try:
+        rows = []
+        for name, value, cfg in grid:
+            model = linear.gd_fit(train, **cfg)
+            rows.append((name, float(value), float(score(model, train)), float(score(model, test))))
+        return rows
+    finally:
+        train.unpersist()
+        test.unpersist()

@@ -257,3 +257,46 @@ def regression_metrics(spark, sf_dir):
     p = tune.group_mean_predictions(hd, "hr", "cnt", "none")
     m = metrics.regression_metrics(p, "prediction", "label")
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mse", "rmse", "mae", "rmsle")])
+
+
+def _auc(model, df):
+    sc = df.select(model.predict(F.col("features")).alias("p"), "label")
+    return metrics.binary_areas(sc, "p", "label").first()["area_under_roc"]
+
+
+def _rmsle(model, df):
+    sc = df.select(model.predict(F.col("features")).alias("prediction"), "label")
+    return metrics.regression_metrics(sc).first()["rmsle"]
+
+
+@register("logistic_sweep")
+def logistic_sweep(spark, sf_dir):
+    """Iterations, step and L2 sweeps of the logistic model on standardised
+    features; AUC (hard labels) on a 60/40 keyed hold-out."""
+    pc = Tables(spark, sf_dir).page_classification()
+    z = encode.standardise(pc, "features", "features_z").select("doc_id", F.col("features_z").alias("features"),
+                                                                  "label")
+    train, test = tune.hash_split(z, "doc_id", 0.4)
+    base = dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False)
+    grid = [("iterations", n, {**base, "iters": n}) for n in (1, 5, 10, 50)]
+    grid += [("step", s, {**base, "step": s}) for s in (0.001, 0.01, 0.1, 1.0, 10.0)]
+    grid += [("l2", r, {**base, "reg": "l2", "reg_param": r}) for r in (0.001, 0.01, 0.1, 1.0, 10.0)]
+    rows = tune.gd_sweep(train, test, grid, _auc)
+    return spark.createDataFrame(rows, "param string, value double, train_auc double, test_auc double")
+
+
+@register("linear_sweep")
+def linear_sweep(spark, sf_dir):
+    """Iterations, step, L1 / L2 and intercept sweeps of the squared-loss
+    model on hourly demand; RMSLE on a 70/30 keyed hold-out."""
+    hd = Tables(spark, sf_dir).hourly_demand().withColumnRenamed("cnt", "label")
+    hd = hd.withColumn("_key", F.unix_timestamp(F.col("hour_start").cast("timestamp")))
+    train, test = tune.hash_split(hd, "_key", 0.3)
+    base = dict(loss="squared", step=0.1, iters=10, reg="none", reg_param=0.0, intercept=False)
+    grid = [("iterations", n, {**base, "iters": n}) for n in (1, 5, 10, 20)]
+    grid += [("step", s, {**base, "step": s}) for s in (0.01, 0.025, 0.05, 0.1)]
+    grid += [("l2", r, {**base, "reg": "l2", "reg_param": r}) for r in (0.0, 0.01, 0.1, 1.0)]
+    grid += [("l1", r, {**base, "reg": "l1", "reg_param": r}) for r in (0.0, 0.01, 0.1, 1.0)]
+    grid += [("intercept", i, {**base, "intercept": bool(i)}) for i in (0, 1)]
+    rows = tune.gd_sweep(train, test, grid, _rmsle)
+    return spark.createDataFrame(rows, "param string, value double, train_rmsle double, test_rmsle double")

@@ -40,3 +40,8 @@ def write_in_order(df: DataFrame, key: str, path: str) -> list:
 def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
             .parquet(path))
+
+
+def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
+    """Line stream (``value``) from text files, like a socket text stream."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)

@@ -31,7 +31,8 @@ def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None
     sink = f"{run}/sink"
 
     def per_batch(batch: DataFrame, batch_id: int):
-        stats = profile.purchase_stats_by(batch, "day").withColumn("batch_id", F.lit(batch_id))
+        stats = (profile.purchase_stats_by(batch, "day").withColumn("batch_id", F.lit(batch_id))
+                 .withColumn("batch_time", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")))
         (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
 
