@@ -34,9 +34,11 @@ def explode_tokens(docs: DataFrame, key: str | None, text: str, kind: str, out:
     stay inside whole-stage codegen (array lambdas would not).
     """
     from ..functions import text as T
+    from .common import ensure_parallel
     raw = T.token_column(F.col(text), "whitespace" if kind == "whitespace" else "nonword")
     cols = ([key] if key else []) + [F.explode(raw).alias(out)]
-    return docs.select(*cols).filter(T.keep_token(F.col(out), kind))
+    src = ensure_parallel(docs.select(*([key] if key else []), text))
+    return src.select(*cols).filter(T.keep_token(F.col(out), kind))
 
 
 def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ BINS = (24, 32, 64)                 # fixed values: swept bin counts (>= 24 hour
 
 @register("tree_classifier_sweep")
 def tree_classifier_sweep(spark, sf_dir):
-    pc = Tables(spark, sf_dir).page_classification().select("doc_id", "features", "label").persist()
+    pc = Tables(spark, sf_dir).page_classification(materialised=True).select("doc_id", "features", "label").persist()
     rows = []
     for impurity in ("entropy", "gini"):
         for depth in DEPTHS:

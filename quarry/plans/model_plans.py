@@ -45,8 +45,10 @@ def page_features(spark, sf_dir):
     return out
 
 
-def _gd_data(t, name):
-    return t.page_classification() if name in ("logistic_gd", "svm_gd") else \
+def _gd_data(t, name, materialised=False):
+    """Training rows of a linear query; ``materialised`` when several fits
+    and metric jobs read them (a single fit persists its own input)."""
+    return t.page_classification(materialised) if name in ("logistic_gd", "svm_gd") else \
         t.hourly_demand().withColumnRenamed("cnt", "label")
 
 
@@ -76,7 +78,7 @@ for _name in GD:
 
 def _scored(t, name):
     cfg = GD[name]
-    data = _gd_data(t, name)
+    data = _gd_data(t, name, materialised=True)
     model = linear.gd_fit(data, **cfg)
     return data.select(model.predict(F.col("features")).alias("prediction"), "label")
 
@@ -113,7 +115,7 @@ def classifier_metrics(spark, sf_dir):
 
 
 def _category_nb(t, smoothing=1.0):
-    pc = t.page_classification()
+    pc = t.page_classification(materialised=True)
     idx = encode.category_index(pc, "category")
     docs = pc.select("doc_id", "label")
     long = pc.join(idx, "category").select("doc_id", F.col("category_index").alias("j"), F.lit(1.0).alias("x"))
@@ -273,7 +275,7 @@ def _rmsle(model, df):
 def logistic_sweep(spark, sf_dir):
     """Iterations, step and L2 sweeps of the logistic model on standardised
     features; AUC (hard labels) on a 60/40 keyed hold-out."""
-    pc = Tables(spark, sf_dir).page_classification()
+    pc = Tables(spark, sf_dir).page_classification(materialised=True)
     z = encode.standardise(pc, "features", "features_z").select("doc_id", F.col("features_z").alias("features"),
                                                                   "label")
     train, test = tune.hash_split(z, "doc_id", 0.4)

@@ -28,23 +28,20 @@ idf AS (SELECT term, count(*) AS df,
         FROM tf GROUP BY term)"""
 
 
-def _term_table(docs):
-    """(doc_id, term, tf) of the full tokenizer, written once to the shared
-    folder: every later step scans it instead of re-tokenizing the text."""
-    from ..sources.files import materialise
-    return materialise(textops.doc_terms(docs, "doc_id", kind="normalised"), "term-table")
-
-
-def _pruned_tf(docs, tf=None):
-    """(doc_id, term, tf, df) without rare terms (corpus count < 2).
+def _pruned_tf(docs):
+    """(doc_id, term, tf, df) of the full tokenizer without rare terms
+    (corpus count < 2), written once to the shared checkpoint folder.
 
     One aggregate gives each term's corpus count and document frequency; one
     join on term keeps the frequent terms and carries df along, so pruning
-    and IDF share a single shuffle of the aggregated rows.
+    and IDF share a single shuffle of the aggregated (doc, term) rows. Every
+    later job (vocabulary size, IDF, model fits) scans the written table
+    instead of re-tokenizing, and a lost executor re-reads files.
     """
-    tf = tf if tf is not None else _term_table(docs)
+    from ..sources.files import materialise
+    tf = textops.doc_terms(docs, "doc_id", kind="normalised")
     stats = textops.corpus_counts(tf).filter(F.col("n") >= T.RARE_BELOW).select("term", "df")
-    return tf.join(stats, "term")
+    return materialise(tf.join(stats, "term"), "pruned-terms")
 
 
 def _tfidf(t):

@@ -53,13 +53,27 @@ class Tables:
             F.col("p_type").alias("genre"),
             F.col("p_brand").alias("brand"))
 
-    def ratings(self) -> DataFrame:
-        """Explicit ratings (user, item, rating 1..5) from orders x lineitem."""
-        return ratings_from_orders(self.orders, self.lineitem)
-
-    def page_classification(self) -> DataFrame:
-        """Labelled documents with numeric text features (label = quality)."""
-        return page_classification(self.labels, self.documents)
+    def ratings(self, materialised: bool = False) -> DataFrame:
+        """Explicit ratings (user, item, rating 1..5) from orders x lineitem.
+
+        ``materialised`` writes the result once to the shared checkpoint
+        folder, for plans that run several jobs over it (model fits,
+        rankings): the join and aggregate then run once, not per job.
+        """
+        r = ratings_from_orders(self.orders, self.lineitem)
+        if materialised:
+            from .files import materialise
+            r = materialise(r, "ratings")
+        return r
+
+    def page_classification(self, materialised: bool = False) -> DataFrame:
+        """Labelled documents with numeric text features (label = quality);
+        ``materialised`` as for ``ratings``."""
+        pc = page_classification(self.labels, self.documents)
+        if materialised:
+            from .files import materialise
+            pc = materialise(pc, "page-features")
+        return pc
 
     def hourly_demand(self) -> DataFrame:
         """Events per hour with calendar features (label = count)."""
@@ -96,7 +110,8 @@ def ratings_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def page_classification(labels: DataFrame, documents: DataFrame) -> DataFrame:
     """(doc_id, label, category, f0..f3, features): length, words, lines and
     mean word length, scaled by fixed constants, as ``array<double>``."""
-    d = documents.select(
+    from ..operators.common import ensure_parallel
+    d = ensure_parallel(documents.select("doc_id", "source", "n_chars", "text")).select(
         "doc_id", F.col("source").alias("category"),
         (F.col("n_chars") / 1000.0).alias("f0"),
         (F.size(F.filter(F.split("text", " "), lambda t: t != "")) / 100.0).alias("f1"),
