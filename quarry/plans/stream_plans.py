@@ -52,15 +52,49 @@ def regression_points(t):
         (F.col("l_extendedprice") / 10000.0).alias("label"))
 
 
-@register("stream_regression")
+def _online_sql() -> str:
+    """Batches = ship years in order. Each model takes one gradient step per
+    batch from per-batch sufficient statistics (X'X, X'y, n), in a recursive
+    CTE; MSE is scored on the batch rows with the previous batch's weights."""
+    a = ", ".join(f"sum(x{i} * x{j}) AS a{i}{j}" for i in range(3) for j in range(3))
+    c = ", ".join(f"sum(x{j} * y) AS c{j}" for j in range(3))
+    upd = ", ".join(
+        f"r.w{j} - r.step * ((" + " + ".join(f"r.w{k} * s.a{k}{j}" for k in range(3)) + f") - s.c{j}) / s.n"
+        for j in range(3))
+    base = " UNION ALL ".join(f"SELECT -1 AS b, '{m}' AS m, {step}::DOUBLE AS step, 0.0::DOUBLE AS w0, "
+                              f"0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2" for m, step in ONLINE_MODELS.items())
+    return f"""
+WITH RECURSIVE
+pts AS (SELECT year(l_shipdate) AS yr, l_quantity / 50.0 AS x0, l_discount * 10.0 AS x1, l_tax * 10.0 AS x2,
+               l_extendedprice / 10000.0 AS y FROM lineitem),
+yrs AS (SELECT yr, CAST(row_number() OVER (ORDER BY yr) - 1 AS BIGINT) AS b FROM (SELECT DISTINCT yr FROM pts)),
+st AS (SELECT yrs.b, count(*) AS n, {a}, {c} FROM pts JOIN yrs ON pts.yr = yrs.yr
+       GROUP BY yrs.b),
+rec AS ({base}
+        UNION ALL
+        SELECT s.b, r.m, r.step, {upd} FROM rec r JOIN st s ON s.b = r.b + 1),
+prev AS (SELECT b + 1 AS b, m, w0, w1, w2 FROM rec),
+mon AS (SELECT prev.m AS model_id, yrs.b AS batch_id, count(*) AS n,
+               avg((prev.w0 * x0 + prev.w1 * x1 + prev.w2 * x2 - y) * (prev.w0 * x0 + prev.w1 * x1 + prev.w2 * x2 - y)) AS mse
+        FROM pts JOIN yrs ON pts.yr = yrs.yr JOIN prev ON prev.b = yrs.b GROUP BY prev.m, yrs.b)"""
+
+
+@register("stream_regression", _online_sql() + """
+SELECT m AS model_id, CAST(b AS BIGINT) AS batch_id, j, round(CASE j WHEN 0 THEN w0 WHEN 1 THEN w1 ELSE w2 END, 6) AS weight
+FROM rec, (SELECT unnest([0, 1, 2]) AS j) WHERE b >= 0
+""")
 def stream_regression(spark, sf_dir):
     weights, _ = online.online_regression(spark, regression_points(Tables(spark, sf_dir)), "ship_year", 3,
                                           ONLINE_MODELS)
-    return weights.select("model_id", "batch_id", F.posexplode("weights").alias("j", "weight"))
+    return weights.select("model_id", "batch_id", F.posexplode("weights").alias("j", "weight")) \
+        .select("model_id", "batch_id", "j", F.round("weight", 6).alias("weight"))
 
 
-@register("stream_model_monitor")
+@register("stream_model_monitor", _online_sql() + """
+SELECT model_id, batch_id, n, round(mse, 6) AS mse, round(sqrt(mse), 6) AS rmse FROM mon
+""")
 def stream_model_monitor(spark, sf_dir):
     _, metrics = online.online_regression(spark, regression_points(Tables(spark, sf_dir)), "ship_year", 3,
                                           ONLINE_MODELS)
-    return metrics.select("model_id", "batch_id", "n", "mse", "rmse")
+    return metrics.select("model_id", "batch_id", "n", F.round("mse", 6).alias("mse"),
+                          F.round("rmse", 6).alias("rmse"))
