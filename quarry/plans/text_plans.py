@@ -144,26 +144,27 @@ WITH {_TF_SQL}, {_IDF_SQL},
 w AS (SELECT tf.doc_id, tf.term, tf.tf * idf.idf AS w FROM tf JOIN idf ON tf.term = idf.term),
 paths AS (SELECT doc_id, source AS topic, '/corpus/' || source || '/' || CAST(doc_id AS VARCHAR) AS path FROM documents),
 q AS (SELECT min(doc_id) AS qid FROM paths WHERE contains(path, '/src0/')),
-cand AS (SELECT topic, min(doc_id) AS doc_id FROM paths, q WHERE doc_id <> q.qid GROUP BY topic),
 qv AS (SELECT term, w FROM w, q WHERE w.doc_id = q.qid),
 qn AS (SELECT sqrt(sum(w * w)) AS qn FROM qv),
-cn AS (SELECT w.doc_id, sqrt(sum(w.w * w.w)) AS nrm FROM w JOIN cand ON w.doc_id = cand.doc_id GROUP BY w.doc_id),
-dots AS (SELECT w.doc_id, sum(w.w * qv.w) AS dot FROM w JOIN cand ON w.doc_id = cand.doc_id
-         JOIN qv ON w.term = qv.term GROUP BY w.doc_id)
-SELECT cand.topic, cand.doc_id, round(coalesce(dots.dot, 0) / (cn.nrm * qn.qn), 6) AS cosine
-FROM cand JOIN cn ON cand.doc_id = cn.doc_id LEFT JOIN dots ON cand.doc_id = dots.doc_id, qn
+cn AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY doc_id),
+dots AS (SELECT w.doc_id, sum(w.w * qv.w) AS dot FROM w JOIN qv ON w.term = qv.term GROUP BY w.doc_id),
+sims AS (SELECT cn.doc_id, coalesce(dots.dot, 0) / (cn.nrm * qn.qn) AS cosine
+         FROM cn LEFT JOIN dots ON cn.doc_id = dots.doc_id, qn, q WHERE cn.doc_id <> q.qid)
+SELECT p.topic, count(*) AS n_docs, round(avg(s.cosine), 6) AS mean_cosine, round(max(s.cosine), 6) AS max_cosine
+FROM sims s JOIN paths p ON s.doc_id = p.doc_id GROUP BY p.topic
 """)
 def doc_cosine(spark, sf_dir):
+    """Cosine of one document's TF-IDF vector with every other document,
+    summarised per topic (same topic vs other topics)."""
     t = Tables(spark, sf_dir)
     w = _tfidf(t).select("doc_id", "term", F.col("tfidf").alias("w"))
     paths = t.documents.select(
         "doc_id", F.col("source").alias("topic"),
         F.concat(F.lit("/corpus/"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("path"))
-    qid = paths.filter(F.col("path").contains("/src0/")).agg(F.min("doc_id").alias("_qid"))
-    from ..operators.common import attach_row
-    cand = (attach_row(paths, qid).filter(F.col("doc_id") != F.col("_qid"))
-            .groupBy("topic").agg(F.min("doc_id").alias("doc_id")))
-    query = w.join(qid.withColumnRenamed("_qid", "doc_id"), "doc_id").select("term", "w")
-    cands = w.join(cand.select("doc_id"), "doc_id")
+    qid = paths.filter(F.col("path").contains("/src0/")).agg(F.min("doc_id").alias("doc_id"))
+    query = w.join(qid, "doc_id").select("term", "w")
+    cands = w.join(qid, "doc_id", "left_anti")
     sims = textops.sparse_cosine(query, cands, "doc_id", "w")
-    return cand.join(sims, "doc_id").select("topic", "doc_id", F.round("cosine", 6).alias("cosine"))
+    return (sims.join(paths.select("doc_id", "topic"), "doc_id").groupBy("topic")
+            .agg(F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("cosine"), 6).alias("mean_cosine"),
+                 F.round(F.max("cosine"), 6).alias("max_cosine")))

@@ -74,3 +74,43 @@ def latest_per_key(updates: DataFrame, key: str, order: str) -> DataFrame:
     cols = [c for c in updates.columns if c not in (key, order)]
     latest = updates.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order)).alias("_s"))
     return latest.select(key, *[F.col(f"_s.{c}").alias(c) for c in cols])
+
+
+def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
+                      run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
+    """The same running (purchases, revenue) per user, written as a custom
+    state update function (``applyInPandasWithState``): each batch's rows of
+    a user are folded into that user's stored (count, revenue). Use this
+    form when the state update is not a built-in aggregate.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    run = run_dir or new_run_dir(spark, "user-state-custom")
+    src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
+                       "day", f"{run}/source")
+    schema = spark.read.parquet(src).schema
+    sink = f"{run}/sink"
+
+    def update(key, batches, state):
+        n, cents = (state.get if state.exists else (0, 0))
+        for pdf in batches:
+            n += len(pdf)
+            cents += int((pdf["price"] * 100).round().sum())
+        state.update((n, cents))
+        yield pd.DataFrame({"user": [key[0]], "n_purchases": [n], "revenue_cents": [cents]})
+
+    running = (read_stream(spark, src, schema, files_per_trigger).select("user", "price")
+               .groupBy("user").applyInPandasWithState(
+                   update, "user long, n_purchases long, revenue_cents long",
+                   "n long, cents long", "update", GroupStateTimeout.NoTimeout))
+
+    def per_batch(batch: DataFrame, batch_id: int):
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
+
+    q = _start(running.writeStream.outputMode("update").foreachBatch(per_batch)
+               .option("checkpointLocation", f"{run}/checkpoint"), trigger)
+    q.awaitTermination()
+    out = latest_per_key(spark.read.parquet(sink), "user", "batch_id")
+    return out.select("user", "n_purchases", (F.col("revenue_cents") / 100).cast("decimal(18,2)").alias("revenue"))

@@ -66,3 +66,11 @@ def test_text_stream_of_labelled_points(spark):
     got = spark.sql(f"SELECT * FROM {name}").first()
     want = pts.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("s")).first()
     assert got.n == want.n and abs(got.s - want.s) < 1e-6
+
+
+def test_custom_state_equals_builtin_state(spark):
+    t = Tables(spark, SF_SMALL)
+    p = t.purchases()
+    a = {r.user: (r.n_purchases, float(r.revenue)) for r in stats.user_state(spark, p).collect()}
+    b = {r.user: (r.n_purchases, float(r.revenue)) for r in stats.user_state_custom(spark, p).collect()}
+    assert a == b
