@@ -84,12 +84,12 @@ def rating_summary(ratings: DataFrame, n_users: DataFrame, n_items: DataFrame) -
 def value_distribution(df: DataFrame, key: str) -> DataFrame:
     """Count by value and its share of the total.
 
-    The share uses a window over the *grouped* rows (one row per distinct
-    value), so the unpartitioned window sees only the value domain.
+    The total is a one-row aggregate attached to every group (no global
+    window), so the value domain can be of any size.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(key, "n", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6)
-                         .alias("fraction"))
+    total = counts.agg(F.sum("n").alias("_total"))
+    return attach_row(counts, total).select(key, "n", F.round(F.col("n") / F.col("_total"), 6).alias("fraction"))
 
 
 def per_key_counts(df: DataFrame, key: str, count_col: str) -> DataFrame:

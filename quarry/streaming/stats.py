@@ -52,7 +52,7 @@ def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None =
     """
     run = run_dir or new_run_dir(spark, "user-state")
     src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
-                       "day", f"{run}/source")
+                       "day", f"{run}/source", one_file_per_key=False)
     schema = spark.read.parquet(src).schema
     sink = f"{run}/sink"
     running = (read_stream(spark, src, schema, files_per_trigger)
@@ -88,7 +88,7 @@ def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict |
 
     run = run_dir or new_run_dir(spark, "user-state-custom")
     src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
-                       "day", f"{run}/source")
+                       "day", f"{run}/source", one_file_per_key=False)
     schema = spark.read.parquet(src).schema
     sink = f"{run}/sink"
 
