@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.parsing import missing_to_zero, strip_quotes
-from ..operators import bayes, encode, linear, metrics, textops, tune
+from ..operators import bayes, encode, linear, metrics, textops, tune  # noqa: F401
 from ..operators.common import attach_row
 from ..sources import Tables
 from . import model_sql as S
@@ -302,3 +302,21 @@ def linear_sweep(spark, sf_dir):
     grid += [("intercept", i, {**base, "intercept": bool(i)}) for i in (0, 1)]
     rows = tune.gd_sweep(train, test, grid, _rmsle)
     return spark.createDataFrame(rows, "param string, value double, train_rmsle double, test_rmsle double")
+
+
+@register("naive_bayes_numeric", "WITH " + S.PAGES_SQL + """,
+ndocs AS (SELECT doc_id, label FROM pc),
+nlong AS (SELECT doc_id, 0 AS j, greatest(x0, 0.0) AS x FROM pc UNION ALL SELECT doc_id, 1, greatest(x1, 0.0) FROM pc
+          UNION ALL SELECT doc_id, 2, greatest(x2, 0.0) FROM pc UNION ALL SELECT doc_id, 3, greatest(x3, 0.0) FROM pc),
+""" + S.nb_scores_sql("ndocs", "nlong", "4", 1.0).lstrip().rstrip(",") + """
+SELECT doc_id, label, prediction FROM nbpred
+""")
+def naive_bayes_numeric(spark, sf_dir):
+    """Multinomial naive Bayes on the numeric page features, negatives
+    clamped to zero (the model needs non-negative counts)."""
+    pc = Tables(spark, sf_dir).page_classification(materialised=True)
+    docs = pc.select("doc_id", "label")
+    long = pc.select("doc_id", F.posexplode("features").alias("j", "x")).select(
+        "doc_id", "j", F.greatest(F.col("x"), F.lit(0.0)).alias("x"))
+    model = bayes.fit(docs, long, 4, 1.0)
+    return docs.join(bayes.predict(model, docs, long), "doc_id").select("doc_id", "label", "prediction")

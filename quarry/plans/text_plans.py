@@ -168,3 +168,32 @@ def doc_cosine(spark, sf_dir):
     return (sims.join(paths.select("doc_id", "topic"), "doc_id").groupBy("topic")
             .agg(F.count(F.lit(1)).alias("n_docs"), F.round(F.avg("cosine"), 6).alias("mean_cosine"),
                  F.round(F.max("cosine"), 6).alias("max_cosine")))
+
+
+@register("tfidf_apply_new", f"""
+WITH {_TF_SQL},
+split AS (SELECT doc_id, ((doc_id % 1000003) * 2654435761) % 1000 < 200 AS is_new FROM documents),
+fit_df AS (SELECT tf.term, count(*) AS df FROM tf JOIN split s ON tf.doc_id = s.doc_id WHERE NOT s.is_new GROUP BY tf.term),
+n_fit AS (SELECT count(*) AS n FROM split WHERE NOT is_new),
+new_w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((n_fit.n + 1) / (coalesce(fit_df.df, 0) + 1)) AS w
+          FROM tf JOIN split s ON tf.doc_id = s.doc_id LEFT JOIN fit_df ON tf.term = fit_df.term, n_fit WHERE s.is_new)
+SELECT doc_id, count(*) AS n_terms, round(sum(w), 6) AS weight_sum, round(max(w), 6) AS weight_max
+FROM new_w GROUP BY doc_id
+""")
+def tfidf_apply_new(spark, sf_dir):
+    """Fit IDF on the training documents and apply it to new ones (a keyed
+    hold-out): a term unseen in training gets df = 0, i.e. the largest idf."""
+    from ..operators import tune
+    t = Tables(spark, sf_dir)
+    tf = _pruned_tf(t.documents)
+    docs = t.documents.select("doc_id")
+    train_docs, new_docs = tune.hash_split(docs, "doc_id", 0.2)
+    fit_tf = tf.join(train_docs, "doc_id")
+    n_fit = train_docs.agg(F.count(F.lit(1)).alias("_N"))
+    df = fit_tf.groupBy("term").agg(F.count(F.lit(1)).alias("df_fit"))
+    from ..operators.common import attach_row
+    new_tf = tf.join(new_docs, "doc_id").join(df, "term", "left")
+    w = attach_row(new_tf, n_fit).select(
+        "doc_id", (F.col("tf") * F.log((F.col("_N") + 1) / (F.coalesce("df_fit", F.lit(0)) + 1))).alias("w"))
+    return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("weight_sum"),
+                                   F.round(F.max("w"), 6).alias("weight_max"))
