@@ -9,20 +9,35 @@ from ..operators import profile
 from .replay import new_run_dir, read_stream, write_by_key
 
 
-def _start(writer, trigger: dict | None):
+def _start(writer, trigger: dict | None, spark: SparkSession | None = None,
+           state_partitions: int | None = None):
+    """Start a query. For stateful queries, ``state_partitions`` fixes the
+    number of state-store partitions (taken from the session when the query
+    first starts and kept in its checkpoint); the session setting is
+    restored right after the start."""
     t = trigger or {"availableNow": True}
-    return writer.trigger(**t).start()
+    if spark is None or state_partitions is None:
+        return writer.trigger(**t).start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.trigger(**t).start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
-                run_dir: str | None = None) -> DataFrame:
+                run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
     """Replay purchases one day per micro-batch and compute, in every batch,
     purchases, distinct users, revenue and the most popular product
     (``foreachBatch`` reusing the batch operators).
 
-    Each batch's rows are written to the sink under its ``batch_id`` with a
-    partition overwrite, so a batch replayed after a failure replaces, never
-    duplicates. Returns the sink as a batch DataFrame.
+    Each day is a single file, so a day never spans two batches; a batch may
+    hold several whole days (``files_per_trigger``) and its statistics are
+    grouped by day. Each batch's rows are written to the sink under its
+    ``batch_id`` with a partition overwrite, so a batch replayed after a
+    failure replaces, never duplicates. Returns the sink as a batch DataFrame.
     """
     run = run_dir or new_run_dir(spark, "batch-stats")
     src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
@@ -36,7 +51,7 @@ def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None
         (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
 
-    q = _start(read_stream(spark, src, schema).writeStream.foreachBatch(per_batch)
+    q = _start(read_stream(spark, src, schema, files_per_trigger).writeStream.foreachBatch(per_batch)
                .option("checkpointLocation", f"{run}/checkpoint"), trigger)
     q.awaitTermination()
     return spark.read.parquet(sink)
@@ -64,7 +79,8 @@ def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None =
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
 
     q = _start(running.writeStream.outputMode("update").foreachBatch(per_batch)
-               .option("checkpointLocation", f"{run}/checkpoint"), trigger)
+               .option("checkpointLocation", f"{run}/checkpoint"), trigger,
+               spark, spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return latest_per_key(spark.read.parquet(sink), "user", "batch_id")
 
@@ -110,7 +126,8 @@ def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict |
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
 
     q = _start(running.writeStream.outputMode("update").foreachBatch(per_batch)
-               .option("checkpointLocation", f"{run}/checkpoint"), trigger)
+               .option("checkpointLocation", f"{run}/checkpoint"), trigger,
+               spark, spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     out = latest_per_key(spark.read.parquet(sink), "user", "batch_id")
     return out.select("user", "n_purchases", (F.col("revenue_cents") / 100).cast("decimal(18,2)").alias("revenue"))
