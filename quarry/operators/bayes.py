@@ -36,10 +36,13 @@ class NaiveBayesModel:
 def fit(docs: DataFrame, long: DataFrame, num_features: int, smoothing: float = 1.0,
         doc: str = "doc_id", label: str = "label") -> NaiveBayesModel:
     """``docs`` is (doc, label); ``long`` is (doc, j, x) with x >= 0."""
+    from ..sources.files import materialise
     s = float(smoothing)
     n_c = docs.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    sums = (long.join(docs.select(doc, label), doc)
-            .groupBy(label, "j").agg(F.sum("x").alias("S")))
+    # the per-class feature sums are the model: written once, then read by
+    # the class totals here and by every later prediction
+    sums = materialise(long.join(docs.select(doc, label), doc)
+                       .groupBy(label, "j").agg(F.sum("x").alias("S")), "nb-sums")
     totals = sums.groupBy(label).agg(F.sum("S").alias("T"))
     cls = n_c.join(totals, label, "left").orderBy(label).collect()   # C rows: model-sized
     n = sum(r["n_c"] for r in cls)
