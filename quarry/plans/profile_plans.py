@@ -150,14 +150,15 @@ def url_suffix_parse(spark, sf_dir):
 
 @register("impute_median", """
 WITH m AS (SELECT quantile_cont(c_acctbal, 0.5) AS med FROM customer WHERE NOT (c_acctbal < 0))
-SELECT c_custkey AS "user", CASE WHEN c_acctbal < 0 THEN med ELSE c_acctbal END AS balance_imputed,
+SELECT c_custkey AS "user", round(CASE WHEN c_acctbal < 0 THEN med ELSE c_acctbal END, 6) AS balance_imputed,
        c_acctbal < 0 AS was_imputed
 FROM customer, m
 """)
 def impute_median(spark, sf_dir):
     from pyspark.sql import functions as F
     u = Tables(spark, sf_dir).users()
-    return profile.impute_median(u, "user", "balance", F.col("balance") < 0, "balance_imputed")
+    out = profile.impute_median(u, "user", "balance", F.col("balance") < 0, "balance_imputed")
+    return out.withColumn("balance_imputed", F.round("balance_imputed", 6))
 
 
 @register("time_of_day", """
