@@ -47,3 +47,8 @@ def unit(a: Column) -> Column:
 
 def vsum(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def take(a: Column, start: int, length: int) -> Column:
+    """Positions ``start`` .. ``start + length - 1`` (0-based) of a vector."""
+    return F.slice(a, start + 1, length)

@@ -54,6 +54,12 @@ def decode_flags(df: DataFrame, key: str, flags: str, names: DataFrame,
             .groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("name")), sep).alias(out_col)))
 
 
+def feature_range(vec: str, start: int, length: int) -> Column:
+    """A contiguous block of a feature vector (e.g. the numeric fields after
+    the id and category fields)."""
+    return V.take(F.col(vec), start, length)
+
+
 def assemble(cols: list[str | Column]) -> Column:
     """Numeric columns -> ``array<double>`` feature vector."""
     return F.array(*[(F.col(c) if isinstance(c, str) else c).cast("double") for c in cols])

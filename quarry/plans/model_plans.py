@@ -316,7 +316,8 @@ def naive_bayes_numeric(spark, sf_dir):
     clamped to zero (the model needs non-negative counts)."""
     pc = Tables(spark, sf_dir).page_classification(materialised=True)
     docs = pc.select("doc_id", "label")
-    long = pc.select("doc_id", F.posexplode("features").alias("j", "x")).select(
+    # all four numeric fields (positions 0..3) of the assembled vector
+    long = pc.select("doc_id", F.posexplode(encode.feature_range("features", 0, 4)).alias("j", "x")).select(
         "doc_id", "j", F.greatest(F.col("x"), F.lit(0.0)).alias("x"))
     model = bayes.fit(docs, long, 4, 1.0)
     return docs.join(bayes.predict(model, docs, long), "doc_id").select("doc_id", "label", "prediction")
