@@ -57,8 +57,14 @@ def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None
     return spark.read.parquet(sink)
 
 
+def _files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """Files per trigger that replay ``path`` in about ``batches`` batches."""
+    n = len(spark.read.parquet(path).inputFiles())   # a listing, no job
+    return max(1, -(-n // batches))
+
+
 def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
-               run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
+               run_dir: str | None = None, batches: int = 5) -> DataFrame:
     """Running (purchases, revenue) per user kept in the streaming state store
     (update mode): each batch emits only the users it changed, with their new
     totals; the sink keeps (user, totals, batch_id) and the current state is
@@ -70,7 +76,7 @@ def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None =
                        "day", f"{run}/source", one_file_per_key=False)
     schema = spark.read.parquet(src).schema
     sink = f"{run}/sink"
-    running = (read_stream(spark, src, schema, files_per_trigger)
+    running = (read_stream(spark, src, schema, _files_per_batch(spark, src, batches))
                .groupBy("user").agg(F.count(F.lit(1)).alias("n_purchases"),
                                     F.sum(F.col("price").cast("decimal(18,2)")).alias("revenue")))
 
@@ -93,7 +99,7 @@ def latest_per_key(updates: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
-                      run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
+                      run_dir: str | None = None, batches: int = 5) -> DataFrame:
     """The same running (purchases, revenue) per user, written as a custom
     state update function (``applyInPandasWithState``): each batch's rows of
     a user are folded into that user's stored (count, revenue). Use this
@@ -116,7 +122,7 @@ def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict |
         state.update((n, cents))
         yield pd.DataFrame({"user": [key[0]], "n_purchases": [n], "revenue_cents": [cents]})
 
-    running = (read_stream(spark, src, schema, files_per_trigger).select("user", "price")
+    running = (read_stream(spark, src, schema, _files_per_batch(spark, src, batches)).select("user", "price")
                .groupBy("user").applyInPandasWithState(
                    update, "user long, n_purchases long, revenue_cents long",
                    "n long, cents long", "update", GroupStateTimeout.NoTimeout))
