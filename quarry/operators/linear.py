@@ -146,3 +146,46 @@ def weights_frame(spark, model: LinearModel, name: str) -> DataFrame:
     (the intercept, when present, is the last index)."""
     rows = [(name, j, float(v), v == 0.0) for j, v in enumerate(model.weights)]
     return spark.createDataFrame(rows, "model string, j int, weight double, is_zero boolean")
+
+
+def gd_fit_many(df: DataFrame, configs: list[dict], features: str = "features", label: str = "label",
+                persist: bool = True) -> list[LinearModel]:
+    """Fit several gradient-descent models over the same rows at once.
+
+    Every iteration is one aggregate that computes the mean gradient of all
+    still-running models (M x d expressions), so the data is scanned once per
+    iteration for the whole grid instead of once per model. Each config takes
+    the ``gd_fit`` keywords (loss, step, iters, reg, reg_param, intercept).
+    Results equal separate ``gd_fit`` calls.
+    """
+    data = df.select(F.col(features).cast("array<double>").alias(features),
+                     F.col(label).cast("double").alias(label))
+    if persist:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = data.select(F.size(features).alias("d")).first()
+        d = int(first["d"]) if first is not None else 0
+        cfgs = [dict(dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False), **c)
+                for c in configs]
+        ws = [[0.0] * d + ([1.0] if c["intercept"] else []) for c in cfgs]
+        hists = [[list(w)] for w in ws]
+        x = F.col(features)
+        for i in range(1, max(c["iters"] for c in cfgs) + 1 if first is not None else 1):
+            live = [m for m, c in enumerate(cfgs) if i <= c["iters"]]
+            aggs = []
+            for m in live:
+                c = cfgs[m]
+                err = error_factor(c["loss"], margin_expr(ws[m], x, c["intercept"]), F.col(label))
+                aggs += [F.avg(err * x.getItem(j)).alias(f"g{m}_{j}") for j in range(d)]
+                if c["intercept"]:
+                    aggs.append(F.avg(err).alias(f"g{m}_{d}"))
+            row = data.agg(*aggs).first()
+            for m in live:
+                c = cfgs[m]
+                g = [float(row[f"g{m}_{j}"]) for j in range(len(ws[m]))]
+                ws[m] = update(ws[m], g, c["step"], i, c["reg"], c["reg_param"])
+                hists[m].append(list(ws[m]))
+        return [LinearModel(w, c["intercept"], c["loss"], h) for w, c, h in zip(ws, cfgs, hists)]
+    finally:
+        if persist:
+            data.unpersist()

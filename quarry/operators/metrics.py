@@ -104,3 +104,21 @@ def average_precision(truth: DataFrame, ranked: DataFrame, user: str, item: str,
     denom = F.col("_n") if k is None else F.least(F.col("_n"), F.lit(k))
     return (sizes.join(score, user, "left")
             .select(user, (F.coalesce(F.col("_s"), F.lit(0.0)) / denom).alias("ap")))
+
+
+def hard_label_roc_many(df: DataFrame, pred_cols: list[str], label: str = "label") -> list[float]:
+    """Area under ROC of several hard (0/1) predictions of the same rows in
+    one aggregate: with two thresholds the curve is (0,0), (FPR, TPR), (1,1),
+    whose area is (TPR + TNR) / 2. Equal to ``binary_areas`` on each column."""
+    pos = F.col(label) > 0.5
+    aggs = [F.sum(pos.cast("long")).alias("_P"), F.sum((~pos).cast("long")).alias("_N")]
+    for c in pred_cols:
+        hit = F.col(c) > 0.5
+        aggs += [F.sum((hit & pos).cast("long")).alias(f"{c}__tp"), F.sum((~hit & ~pos).cast("long")).alias(f"{c}__tn")]
+    r = df.agg(*aggs).first()
+    out = []
+    for c in pred_cols:
+        tpr = r[f"{c}__tp"] / r["_P"] if r["_P"] else 0.0
+        tnr = r[f"{c}__tn"] / r["_N"] if r["_N"] else 0.0
+        out.append((tpr + tnr) / 2)
+    return out

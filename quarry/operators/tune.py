@@ -60,17 +60,16 @@ def sweep(params: Iterable, fit_and_score: Callable[[object], dict], spark, sche
 
 def gd_sweep(train: DataFrame, test: DataFrame, grid: list[tuple[str, object, dict]],
              score: Callable[[object, DataFrame], float]) -> list[tuple]:
-    """Fit ``gd_fit`` once per grid entry (name, value, settings) on the
-    persisted training split and score it on both splits."""
+    """Fit every grid entry (name, value, settings) on the persisted training
+    split in one joint pass per iteration (``gd_fit_many``), then score each
+    model on both splits."""
     from . import linear
     train = train.persist()
     test = test.persist()
     try:
-        rows = []
-        for name, value, cfg in grid:
-            model = linear.gd_fit(train, **cfg)
-            rows.append((name, float(value), float(score(model, train)), float(score(model, test))))
-        return rows
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in grid], persist=False)
+        return [(name, float(value), float(score(m, train)), float(score(m, test)))
+                for (name, value, _), m in zip(grid, models)]
     finally:
         train.unpersist()
         test.unpersist()

@@ -261,11 +261,6 @@ def regression_metrics(spark, sf_dir):
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mse", "rmse", "mae", "rmsle")])
 
 
-def _auc(model, df):
-    sc = df.select(model.predict(F.col("features")).alias("p"), "label")
-    return metrics.binary_areas(sc, "p", "label").first()["area_under_roc"]
-
-
 def _rmsle(model, df):
     sc = df.select(model.predict(F.col("features")).alias("prediction"), "label")
     return metrics.regression_metrics(sc).first()["rmsle"]
@@ -283,7 +278,18 @@ def logistic_sweep(spark, sf_dir):
     grid = [("iterations", n, {**base, "iters": n}) for n in (1, 5, 10, 50)]
     grid += [("step", s, {**base, "step": s}) for s in (0.001, 0.01, 0.1, 1.0, 10.0)]
     grid += [("l2", r, {**base, "reg": "l2", "reg_param": r}) for r in (0.001, 0.01, 0.1, 1.0, 10.0)]
-    rows = tune.gd_sweep(train, test, grid, _auc)
+    train, test = train.persist(), test.persist()
+    try:
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in grid], persist=False)
+
+        def aucs(df):   # every model's hard-label AUC from one aggregate
+            preds = df.select("label", *[m.predict(F.col("features")).alias(f"p{i}") for i, m in enumerate(models)])
+            return metrics.hard_label_roc_many(preds, [f"p{i}" for i in range(len(models))])
+        tr, te = aucs(train), aucs(test)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    rows = [(name, float(v), float(a), float(b)) for (name, v, _), a, b in zip(grid, tr, te)]
     return spark.createDataFrame(rows, "param string, value double, train_auc double, test_auc double")
 
 

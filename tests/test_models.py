@@ -182,3 +182,21 @@ def test_tokenizer_staged_equals_composed(spark, t):
               .filter(F.length("t") >= T.MIN_TOKEN_LENGTH))
     assert composed.count() == staged.count()
     assert composed.distinct().count() == staged.distinct().count()
+
+
+def test_joint_fit_equals_separate_fits(spark, t):
+    data = t.hourly_demand().withColumnRenamed("cnt", "label")
+    cfgs = [dict(loss="squared", step=0.1, iters=3, reg="l1", reg_param=0.1),
+            dict(loss="squared", step=0.05, iters=5, reg="l2", reg_param=0.01, intercept=True),
+            dict(loss="squared", step=0.1, iters=1)]
+    joint = linear.gd_fit_many(data, cfgs)
+    for c, m in zip(cfgs, joint):
+        assert np.allclose(m.weights, linear.gd_fit(data, **c).weights, rtol=1e-12, atol=1e-14)
+
+
+def test_hard_label_roc_many_equals_curve_area(spark):
+    rows = [(float(i % 2 == 0), float(i % 3 == 0), float(i % 5 < 2)) for i in range(150)]
+    df = spark.createDataFrame(rows, "label double, a double, b double")
+    many = metrics.hard_label_roc_many(df, ["a", "b"])
+    for c, v in zip(["a", "b"], many):
+        assert abs(metrics.binary_areas(df, c, "label").first().area_under_roc - v) < 1e-12
