@@ -122,3 +122,26 @@ def hard_label_roc_many(df: DataFrame, pred_cols: list[str], label: str = "label
         tnr = r[f"{c}__tn"] / r["_N"] if r["_N"] else 0.0
         out.append((tpr + tnr) / 2)
     return out
+
+
+def hard_label_summary(df: DataFrame, pred: str = "prediction", label: str = "label") -> dict:
+    """Accuracy and the ROC / PR areas of a hard (0/1) prediction from one
+    aggregate of confusion counts. With thresholds {1, 0} the ROC curve is
+    (0,0), (FPR, TPR), (1,1) and the PR curve (0, p1), (TPR, p1),
+    (1, P / (P + N)); equal to ``binary_areas`` on the same column."""
+    pos, hit = F.col(label) > 0.5, F.col(pred) > 0.5
+    r = df.agg(F.sum((hit & pos).cast("long")).alias("tp"), F.sum((hit & ~pos).cast("long")).alias("fp"),
+               F.sum((~hit & ~pos).cast("long")).alias("tn"), F.sum((~hit & pos).cast("long")).alias("fn")).first()
+    tp, fp, tn, fn = (r[k] or 0 for k in ("tp", "fp", "tn", "fn"))
+    P, N = tp + fn, fp + tn
+    n = P + N
+    tpr = tp / P if P else 0.0
+    fpr = fp / N if N else 0.0
+    base = P / n if n else 0.0
+    if tp + fp > 0:
+        p1 = tp / (tp + fp)
+        pr = tpr * p1 + (1.0 - tpr) * (p1 + base) / 2
+    else:   # only the threshold 0: the curve starts at (0, base) and ends at (1, base)
+        pr = base
+    roc = fpr * tpr / 2 + (1.0 - fpr) * (tpr + 1.0) / 2
+    return {"accuracy": (tp + tn) / n if n else 0.0, "area_under_roc": roc, "area_under_pr": pr}

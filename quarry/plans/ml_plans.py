@@ -23,7 +23,7 @@ def tree_classifier_sweep(spark, sf_dir):
         for depth in DEPTHS:
             model, data = trees.fit_classifier(pc, "features", "label", impurity, depth)
             pred = model.transform(data).select("prediction", "label")
-            a = attach_row(metrics.accuracy(pred), metrics.binary_areas(pred, "prediction", "label")).first()
+            a = metrics.hard_label_summary(pred)     # one aggregate per tree
             info = trees.introspect(model)
             rows.append((impurity, depth, float(a["accuracy"]), float(a["area_under_roc"]),
                          float(a["area_under_pr"]), info["depth"], info["num_nodes"]))

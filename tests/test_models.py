@@ -200,3 +200,14 @@ def test_hard_label_roc_many_equals_curve_area(spark):
     many = metrics.hard_label_roc_many(df, ["a", "b"])
     for c, v in zip(["a", "b"], many):
         assert abs(metrics.binary_areas(df, c, "label").first().area_under_roc - v) < 1e-12
+
+
+def test_hard_label_summary_equals_curve_areas(spark):
+    for mod in (3, 7, 1000):
+        rows = [(float(i % 2 == 0), float(i % mod == 0)) for i in range(140)]
+        df = spark.createDataFrame(rows, "label double, prediction double")
+        got = metrics.hard_label_summary(df)
+        want = metrics.binary_areas(df, "prediction", "label").first()
+        assert abs(got["area_under_roc"] - want.area_under_roc) < 1e-12
+        assert abs(got["area_under_pr"] - want.area_under_pr) < 1e-12
+        assert abs(got["accuracy"] - metrics.accuracy(df).first().accuracy) < 1e-12
