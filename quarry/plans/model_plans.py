@@ -106,11 +106,12 @@ def classifier_metrics(spark, sf_dir):
     for name in ("logistic_gd", "svm_gd"):
         sc = _scored(t, name)
         acc = metrics.accuracy(sc)
-        areas = metrics.binary_areas(sc, "prediction", "label")
-        outs.append(attach_row(acc, areas).select(
+        # hard 0/1 predictions: both curve areas from one confusion-count aggregate
+        h = metrics.hard_label_summary(sc)
+        outs.append(acc.select(
             F.lit(name).alias("model"), "n", "n_correct", F.round("accuracy", 6).alias("accuracy"),
-            F.round("area_under_roc", 6).alias("area_under_roc"),
-            F.round("area_under_pr", 6).alias("area_under_pr")))
+            F.round(F.lit(h["area_under_roc"]), 6).alias("area_under_roc"),
+            F.round(F.lit(h["area_under_pr"]), 6).alias("area_under_pr")))
     return outs[0].unionByName(outs[1])
 
 
