@@ -93,6 +93,7 @@ def block_rows(df: DataFrame, key: str, uid: str, block: int) -> DataFrame:
     """
     large = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
              .select(key, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_nb")))
+    large = materialise(large, "large-keys")  # written: its size is then known, and a skewed join can be split
     dealt = (df.join(large, key, "left")
              .withColumn("_nb", F.coalesce("_nb", F.lit(1)))
              .withColumn("_blk", F.pmod(F.xxhash64(uid), F.col("_nb").cast("long")).cast("int"))

@@ -125,6 +125,7 @@ def _links(classes: DataFrame, threshold, tables, hashes, probes, seed, block) -
     vecs = materialise(vecs.drop("codes"), "vector-keys")
     entered = vecs.select("rep", F.explode(F.array_distinct("keys")).alias("key"))
     busy = entered.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    busy = materialise(busy, "busy-buckets")  # written, so that AQE can split the rows of a hot bucket in the join
     met = (entered.join(busy, "key").groupBy("rep").agg(F.collect_list("key").alias("met")))
     cells = vecs.join(met, "rep").select("rep", "w", "_v", F.col("_label").cast("string").alias("_label"), "keys",
                                          F.explode("met").alias("key"))
