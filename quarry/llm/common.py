@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..sources.files import materialise
 
 __all__ = ["Shared", "append_columns", "byte_words", "alnum_words", "block_rows", "runs", "pairs_in_runs",
-           "forest", "materialise", "code_point_order"]
+           "forest", "hash_sample", "materialise", "code_point_order"]
 
 _ASCII_TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32
                      for c in range(256))
@@ -62,6 +62,25 @@ def append_columns(df: DataFrame, arg: str, fields: str,
     return df.mapInArrow(run, schema)
 
 
+def hash_sample(df: DataFrame, h: str, most: int, by: str | None = None) -> DataFrame:
+    """The ``most`` rows with the smallest unsigned hash ``h`` (a long column),
+    of each value of ``by`` if given (null left out).
+
+    A count first gives the share of rows that could be among them (three
+    times as many on average), and only those leave their task, so neither
+    the driver nor a task gets ``most`` rows from every task. Should fewer
+    remain than asked for, as with very uneven hashes, the result is smaller.
+    """
+    place = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")) if by else None
+    joined = df.join(counts, by) if by else df.withColumn("_n", F.lit(df.count()))
+    near = joined.filter(place * F.col("_n") < F.lit(3.0 * most)).drop("_n").withColumn("_place", place)
+    if not by:
+        return near.orderBy("_place", *df.columns).limit(most).drop("_place")
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", *df.columns))
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank", "_place")
+
+
 def byte_words(raw: bytes | None) -> list[bytes]:
     """Lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text."""
     return raw.lower().split() if raw else []

@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, append_columns
+from .common import Shared, append_columns, hash_sample
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -176,13 +176,12 @@ def training_sample(docs: DataFrame, usable, text: str = "text", lang: str = "la
                     per_label: int = 80, most: int = 1600, longest: int = 6_000) -> list[tuple[str, str]]:
     """At most ``per_label`` labelled texts of up to ``longest`` characters a
     label and ``most`` in all, chosen by a hash of the id: the bound of what
-    the driver gets. A partial group limit keeps a hot label out of the shuffle."""
+    the driver gets."""
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"),
                        F.xxhash64(F.col(id_col).cast("string"), F.lit(17)).alias("h"), usable.alias("ok")).filter(
         F.col("ok") & F.col("l").isNotNull() & F.col("t").isNotNull() & (F.length("t") <= longest))
-    rank = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
-    few = rows.select("t", "l", "h", rank.alias("r")).filter(F.col("r") <= per_label)
-    return [(r.t, r.l) for r in few.orderBy("r", "h", "t").limit(most).collect()]
+    few = hash_sample(rows.select("t", "l", "h"), "h", per_label, "l")
+    return [(r.t, r.l) for r in few.orderBy("h", "l", "t").limit(most).collect()]
 
 
 _WORKER: dict = {}

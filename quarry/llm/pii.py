@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, append_columns
+from .common import Shared, append_columns, hash_sample
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -291,8 +291,9 @@ def training_sample(docs: DataFrame, text: str = "text", most: int = 1_500, long
     gets. Copies of a text count once, so a large group of copies can't fill
     the sample."""
     t = docs.select(F.col(text).alias("t")).filter((F.length("t") <= longest) & F.col("t").rlike("[0-9@]"))
-    few = t.groupBy(F.xxhash64("t", F.lit(5)).alias("h")).agg(F.min("t").alias("t"))
-    return [r.t for r in few.orderBy("h").limit(most).collect()]
+    marked = t.withColumn("h", F.xxhash64("t", F.lit(5)))
+    few = marked.join(hash_sample(marked.select("h").distinct(), "h", most), "h").groupBy("h").agg(F.min("t").alias("t"))
+    return [r.t for r in few.orderBy("h").collect()]
 
 
 def all_spans(text: str, model: SpanModel | None) -> tuple[list, list]:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, append_columns
+from .common import Shared, append_columns, hash_sample
 
 FEATURES = ("log_words", "word_length", "upper", "lower", "digits", "symbols", "stops", "non_ascii", "distinct_words",
             "top_word", "repeated_pairs", "line_length", "repeated_lines", "marked_words", "short_words", "capital_words")
@@ -148,7 +148,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable, text: str = "tex
     numbers only."""
     chosen = (labels.filter(usable & F.col(quality).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("_id")).agg(F.max(quality).cast("double").alias("_y"))
-              .orderBy(F.xxhash64(F.col("_id").cast("string"), F.lit(23)), "_id").limit(most))
+              .withColumn("_h", F.xxhash64(F.col("_id").cast("string"), F.lit(23))))
+    chosen = hash_sample(chosen, "_h", most).select("_id", "_y")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_id")
 
     def make():
