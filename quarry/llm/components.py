@@ -9,7 +9,7 @@ from .common import materialise
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node that occurs in ``links``; component is
+    """(node, component) for every node linked to another one; component is
     the smallest node that links reach. Direction, repeats and self links do
     not matter; an empty table gives an empty result.
 

@@ -64,7 +64,7 @@ def resync_count(tokenizer, text: str, chunk: int, overlap: int, agree: int = 4)
 
     Neighbouring chunks are spliced at a stable boundary of their overlap. If
     there is none the overlap doubles; once it would reach back to the last
-    splice, the left chunk itself is lengthened, so text without any boundary
+    splice, the left chunk itself doubles, so text without any boundary
     is in the end encoded whole.
     """
     n, total, cut = len(text), 0, 0
@@ -74,7 +74,7 @@ def resync_count(tokenizer, text: str, chunk: int, overlap: int, agree: int = 4)
         while True:
             lo = left.hi - width
             if lo <= cut:
-                left = Chunk(tokenizer, text, left.lo, min(n, left.hi + chunk))
+                left = Chunk(tokenizer, text, left.lo, min(n, left.hi + max(chunk, left.hi - left.lo)))
                 break
             right = Chunk(tokenizer, text, lo, min(n, lo + max(chunk, 2 * width)))
             p = stable_boundary(text, left, right, max(cut, lo), agree)
