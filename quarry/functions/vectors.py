@@ -32,7 +32,8 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (norm(a) * norm(b))
+    """Null if one of them is a zero vector."""
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def scale(a: Column, s: Column) -> Column:

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 def attach_row(left: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a single-row result (a global aggregate or a
-    ``limit(1)``) to every row of ``left``.
+    top 1) to every row of ``left``.
 
-    The right side is bounded to one row by construction, so broadcasting it
-    is safe at any scale; the left side is never shuffled. Left outer keeps
-    the left row when the one-row side is empty (e.g. top-1 of no rows).
+    The caller guarantees one row at most: a second one raises an error, and
+    without any the new columns are null. An aggregate brings the side down to
+    exactly one row, so broadcasting it is safe at any scale; the left side is
+    never shuffled.
     """
-    return left.join(F.broadcast(one_row.limit(1)), F.lit(True), "left")
+    held = F.struct(*[F.col(c) for c in one_row.columns])
+    checked = F.when(F.count(F.lit(1)) <= 1, F.first(held)).otherwise(F.raise_error("more than one row"))
+    only = one_row.agg(checked.alias("_only")).select("_only.*")
+    return left.join(F.broadcast(only), F.lit(True), "left")
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:

@@ -32,11 +32,12 @@ def one_hot(df: DataFrame, key: str, cat: str) -> DataFrame:
     """(key, cat, category_index, onehot) using the sorted category index.
 
     The index is a join on the category value; its size is the number of
-    categories, and AQE broadcasts it at runtime when it is small.
+    categories, and AQE broadcasts it at runtime when it is small. A row with
+    a null category keeps a null index and a null indicator.
     """
     idx = category_index(df, cat)
     k = idx.agg(F.count(F.lit(1)).cast("int").alias("_k"))
-    rows = attach_row(df.select(key, cat).join(idx, cat), k)
+    rows = attach_row(df.select(key, cat).join(idx, cat, "left"), k)
     return rows.select(key, cat, "category_index",
                        one_hot_string(F.col("category_index"), F.col("_k")).alias("onehot"))
 
@@ -47,10 +48,12 @@ def decode_flags(df: DataFrame, key: str, flags: str, names: DataFrame,
 
     ``names`` is (pos, name). The flags are exploded inside the scan stage, set
     positions joined to the names dimension, and each key's names re-collected;
-    a key never holds more names than the flag array has positions.
+    a key never holds more names than the flag array has positions. A row
+    without any set flag has empty names.
     """
     setpos = df.select(key, F.posexplode(flags).alias("pos", "_v")).filter(F.col("_v") == 1)
-    return (setpos.join(names, "pos")
+    set_names = setpos.join(names, "pos").select(key, "name")
+    return (set_names.unionByName(df.select(key, F.lit(None).cast("string").alias("name")))
             .groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("name")), sep).alias(out_col)))
 
 

@@ -12,31 +12,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.files import materialise
 
-def dense_index(keys: DataFrame, key: str, index_col: str = "index",
-                num_partitions: int | None = None) -> DataFrame:
-    """(key, index) with index = rank of key among the distinct keys, from 0.
 
-    ``keys`` may hold duplicates; they are removed first (partial + final
-    aggregate). Deterministic: the index depends only on the key order.
+def _placed(df: DataFrame, order_cols: list[str], num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their range partition (_pid) and position in it (_pos), and
+    the rows before each partition (_off).
+
+    Range bounds come from a sample, so two runs of the same plan may cut
+    differently. The placed rows are therefore written once, and rows and
+    offsets are both read from there.
     """
-    spark = keys.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (keys.select(key).distinct()
-              .repartitionByRange(n, F.col(key))
-              .sortWithinPartitions(key)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in order_cols]
+    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # monotonically_increasing_id = (partition id << 33) + position in partition
-    ranged = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    ranged = materialise(ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+                         .drop("_mid"), "ranged")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by the partition count, safe to window/broadcast
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    return ranged, counts.select("_pid", F.coalesce(before, F.lit(0)).alias("_off"))
+
+
+def dense_index(keys: DataFrame, key: str, index_col: str = "index",
+                num_partitions: int | None = None) -> DataFrame:
+    """(key, index) with index = rank of key among the distinct keys, from 0.
+
+    ``keys`` may hold duplicates; they are removed first (partial + final
+    aggregate). Deterministic: the index depends only on the key order.
+    """
+    ranged, offsets = _placed(keys.select(key).distinct(), [key], num_partitions)
     return (ranged.join(F.broadcast(offsets), "_pid")
-            .select(key, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos")).alias(index_col)))
+            .select(key, (F.col("_off") + F.col("_pos")).alias(index_col)))
 
 
 def ordered_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
@@ -44,20 +54,9 @@ def ordered_index(df: DataFrame, order_cols: list[str], index_col: str = "index"
     """All columns of ``df`` plus a 0-based position in the global order of
     ``order_cols`` (which must be unique per row), computed like
     ``dense_index``: range partitions, local positions, per-partition offsets."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) for c in order_cols]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid", F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_off"))
+    ranged, offsets = _placed(df, order_cols, num_partitions)
     return (ranged.join(F.broadcast(offsets), "_pid")
-            .withColumn(index_col, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos"))
-            .drop("_pid", "_mid", "_pos", "_off"))
+            .withColumn(index_col, F.col("_off") + F.col("_pos")).drop("_pid", "_pos", "_off"))
 
 
 def rank_within_group(df: DataFrame, group: str, order: str, out: str = "rank_in_group",
@@ -87,9 +86,7 @@ def running_totals(df: DataFrame, order: str, value_cols: list[str],
     """Inclusive running sums of ``value_cols`` in the global order of the
     unique column ``order``: per-range-partition window sums plus the totals
     of all earlier partitions (one row per partition)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(order)).withColumn("_pid", F.spark_partition_id())
+    ranged, _ = _placed(df, [order], num_partitions)
     w_local = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"_loc_{c}") for c in value_cols])
     totals = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_tot_{c}") for c in value_cols])
@@ -99,4 +96,4 @@ def running_totals(df: DataFrame, order: str, value_cols: list[str],
     out = local.join(F.broadcast(offsets), "_pid")
     for c in value_cols:
         out = out.withColumn(f"cum_{c}", F.col(f"_loc_{c}") + F.col(f"_off_{c}"))
-    return out.drop("_pid", *[f"_loc_{c}" for c in value_cols], *[f"_off_{c}" for c in value_cols])
+    return out.drop("_pid", "_pos", *[f"_loc_{c}" for c in value_cols], *[f"_off_{c}" for c in value_cols])

@@ -5,9 +5,7 @@ Each iteration is one distributed aggregate: the current weights are a
 driver-side list of d literals inlined into the expression, every task sums
 ``err * x_j`` for its rows (codegen'd, partial + final), and the driver
 applies the updater to d numbers. Plans stay flat across iterations because
-nothing depends on the previous iteration's DataFrame. Above ``WIDE`` features
-the gradient is summed per position after an in-stage explode instead of as
-d separate expressions.
+nothing depends on the previous iteration's DataFrame.
 """
 
 from __future__ import annotations
@@ -19,8 +17,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WIDE = 64
-
 
 @dataclass
 class LinearModel:
@@ -88,23 +84,12 @@ def _mean_gradient(data: DataFrame, w: list[float], d: int, loss: str, intercept
                    features: str, label: str) -> list[float]:
     x = F.col(features)
     err = error_factor(loss, margin_expr(w, x, intercept), F.col(label))
-    if d <= WIDE:
-        aggs = [F.avg(err * x.getItem(j)).alias(f"g{j}") for j in range(d)]
-        if intercept:
-            aggs.append(F.avg(err).alias(f"g{d}"))
-        row = data.agg(*aggs).first()
-        return [float(row[f"g{j}"]) for j in range(d + (1 if intercept else 0))]
-    # wide: one partial row per (task, position) instead of d expressions
-    n = data.count()
-    e = data.select(err.alias("_e"), x.alias("_x"))
+    # one aggregate at any width; a row whose feature is null does not count for that feature
+    aggs = [F.avg(err * x.getItem(j)).alias(f"g{j}") for j in range(d)]
     if intercept:
-        e = e.select("_e", F.concat("_x", F.array(F.lit(1.0))).alias("_x"))
-    rows = (e.select(F.posexplode("_x").alias("_j", "_v"), "_e")
-            .groupBy("_j").agg(F.sum(F.col("_v") * F.col("_e")).alias("_g")).collect())
-    g = [0.0] * (d + (1 if intercept else 0))
-    for r in rows:
-        g[r["_j"]] = float(r["_g"]) / n
-    return g
+        aggs.append(F.avg(err).alias(f"g{d}"))
+    row = data.agg(*aggs).first()
+    return [float(row[f"g{j}"]) for j in range(d + (1 if intercept else 0))]
 
 
 def gd_fit(df: DataFrame, features: str = "features", label: str = "label", loss: str = "logistic",

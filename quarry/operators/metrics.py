@@ -53,10 +53,11 @@ def binary_areas(df: DataFrame, score: str, label: str) -> DataFrame:
     c = attach_row(cum, tot)
     ctp, cfp = F.col("cum_tp"), F.col("cum_fp")
     ptp, pfp = ctp - F.col("tp"), cfp - F.col("fp")
-    fpr, tpr = cfp / F.col("N"), ctp / F.col("P")
-    pfpr, ptpr = pfp / F.col("N"), ptp / F.col("P")
-    prec = ctp / (ctp + cfp)
-    pprec = F.when(ptp + pfp > 0, ptp / (ptp + pfp)).otherwise(prec)
+    # with one class only, the rates of the other one and the areas that need them are null
+    fpr, tpr = F.try_divide(cfp, F.col("N")), F.try_divide(ctp, F.col("P"))
+    pfpr, ptpr = F.try_divide(pfp, F.col("N")), F.try_divide(ptp, F.col("P"))
+    prec = F.try_divide(ctp, ctp + cfp)
+    pprec = F.coalesce(F.try_divide(ptp, ptp + pfp), prec)
     roc = (fpr - pfpr) * (tpr + ptpr) / 2
     pr = (tpr - ptpr) * (prec + pprec) / 2
     return c.agg(F.sum(roc).alias("area_under_roc"), F.sum(pr).alias("area_under_pr"))

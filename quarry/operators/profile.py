@@ -102,19 +102,22 @@ def density_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 
     Two aggregates: the global min/max (one row, attached to every row), then
     a count per bin. The maximum falls in the last bin. density = n / (N * w).
+    Every bin has a row, with n = 0 if nothing falls in it. Of a constant
+    column all values are in bin 0 and the densities are null; a column
+    without values has no bins.
     """
     rng = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(value).alias("_N"))
     x = attach_row(df.select(value).filter(F.col(value).isNotNull()), rng)
     width = (F.col("_hi") - F.col("_lo")) / bins
-    b = F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(bins - 1)).cast("int")
-    b = F.when(width == 0, F.lit(0)).otherwise(b)
-    binned = x.select(b.alias("bin"), "_lo", "_hi", "_N")
-    return (binned.groupBy("bin", "_lo", "_hi", "_N").agg(F.count(F.lit(1)).alias("n"))
+    place = F.floor(F.try_divide(F.col(value) - F.col("_lo"), width))
+    b = F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int")
+    counts = x.select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    every = rng.filter("_N > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return (every.join(counts, "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
             .select("bin",
                     F.round(F.col("_lo") + F.col("bin") * (F.col("_hi") - F.col("_lo")) / bins, 6).alias("bin_lo"),
                     F.round(F.col("_lo") + (F.col("bin") + 1) * (F.col("_hi") - F.col("_lo")) / bins, 6).alias("bin_hi"),
-                    "n",
-                    F.round(F.col("n") / (F.col("_N") * (F.col("_hi") - F.col("_lo")) / bins), 9).alias("density")))
+                    "n", F.round(F.try_divide(F.col("n"), F.col("_N") * width), 9).alias("density")))
 
 
 def impute_median(df: DataFrame, key: str, value: str, bad: Column, out_col: str) -> DataFrame:

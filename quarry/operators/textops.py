@@ -99,7 +99,8 @@ def sparse_norms(weights: DataFrame, key: str, w: str) -> DataFrame:
 def sparse_cosine(query: DataFrame, candidates: DataFrame, key: str, w: str) -> DataFrame:
     """Cosine of one sparse query vector (term, w) with every candidate
     (key, term, w): a join on term sums the shared products; norms are
-    per-key aggregates. Candidates with no shared term get 0."""
+    per-key aggregates. Candidates with no shared term, or whose
+    terms all weigh nothing, get 0."""
     qn = query.agg(F.sqrt(F.sum(F.col(w) * F.col(w))).alias("_qn"))
     q = query.select("term", F.col(w).alias("_qw"))
     dots = (candidates.join(q, "term")
@@ -107,7 +108,7 @@ def sparse_cosine(query: DataFrame, candidates: DataFrame, key: str, w: str) ->
     from .common import attach_row
     norms = sparse_norms(candidates, key, w)
     out = attach_row(norms.join(dots, key, "left"), qn)
-    return out.select(key, (F.coalesce(F.col("_dot"), F.lit(0.0)) / (F.col("norm") * F.col("_qn")))
+    return out.select(key, F.coalesce(F.try_divide(F.col("_dot"), F.col("norm") * F.col("_qn")), F.lit(0.0))
                       .alias("cosine"))
 
 

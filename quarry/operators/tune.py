@@ -7,16 +7,13 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Multiplicative hash of keyed splits (Knuth's constant) and a
-# prime that keeps the product inside a signed 64-bit integer.
-HASH_MULT = 2654435761
-HASH_MOD = 1000003
-
 
 def hash_bucket(key: Column, buckets: int = 1000) -> Column:
-    """Deterministic bucket of an integer key: independent of partitioning,
-    so a split is the same in every run and every engine."""
-    return F.pmod(F.pmod(key, F.lit(HASH_MOD)) * F.lit(HASH_MULT), F.lit(buckets))
+    """Deterministic bucket of a key: the first 32 bits of the MD5 of its text,
+    so it does not follow the key's pattern and is the same in every run,
+    partitioning and engine."""
+    digits = F.substring(F.md5(key.cast("string").cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % F.lit(buckets)
 
 
 def hash_split(df: DataFrame, key: str, test_fraction: float) -> tuple[DataFrame, DataFrame]:

@@ -184,7 +184,7 @@ def weighted_f(spark, sf_dir):
 
 
 @register("hash_split_sizes", """
-WITH b AS (SELECT ((event_id % 1000003) * 2654435761) % 1000 AS bucket, value FROM events)
+WITH b AS (SELECT CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 AS bucket, value FROM events)
 SELECT CASE WHEN bucket < 200 THEN 'test' ELSE 'train' END AS split, count(*) AS n,
        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
 FROM b GROUP BY 1
@@ -203,7 +203,7 @@ def hash_split_sizes(spark, sf_dir):
 
 
 @register("anti_join_train", """
-WITH b AS (SELECT event_id, ((event_id % 1000003) * 2654435761) % 1000 AS bucket FROM events),
+WITH b AS (SELECT event_id, CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 AS bucket FROM events),
 test AS (SELECT event_id FROM b WHERE bucket < 200),
 train AS (SELECT e.event_id, e.value FROM events e WHERE NOT EXISTS (SELECT 1 FROM test t WHERE t.event_id = e.event_id))
 SELECT count(*) AS n_train, (SELECT count(*) FROM test) AS n_test,

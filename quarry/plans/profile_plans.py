@@ -102,9 +102,10 @@ b AS (
               ELSE CAST(least(floor((c_acctbal - lo) / ((hi - lo) / 20)), 19) AS INTEGER) END AS bin,
          lo, hi, nn
   FROM customer, r WHERE c_acctbal IS NOT NULL)
-SELECT bin, round(lo + bin * (hi - lo) / 20, 6) AS bin_lo, round(lo + (bin + 1) * (hi - lo) / 20, 6) AS bin_hi,
-       count(*) AS n, round(count(*) / (nn * (hi - lo) / 20), 9) AS density
-FROM b GROUP BY bin, lo, hi, nn
+SELECT CAST(k.bin AS INTEGER) AS bin, round(lo + k.bin * (hi - lo) / 20, 6) AS bin_lo,
+       round(lo + (k.bin + 1) * (hi - lo) / 20, 6) AS bin_hi,
+       coalesce(c.n, 0) AS n, round(coalesce(c.n, 0) / (nn * ((hi - lo) / 20)), 9) AS density
+FROM range(20) k(bin) CROSS JOIN r LEFT JOIN (SELECT bin, count(*) AS n FROM b GROUP BY bin) c ON c.bin = k.bin
 """)
 def activity_histogram(spark, sf_dir):
     return profile.density_histogram(Tables(spark, sf_dir).users(), "balance", 20)

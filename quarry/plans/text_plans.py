@@ -172,7 +172,7 @@ def doc_cosine(spark, sf_dir):
 
 @register("tfidf_apply_new", f"""
 WITH {_TF_SQL},
-split AS (SELECT doc_id, ((doc_id % 1000003) * 2654435761) % 1000 < 200 AS is_new FROM documents),
+split AS (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 200 AS is_new FROM documents),
 fit_df AS (SELECT tf.term, count(*) AS df FROM tf JOIN split s ON tf.doc_id = s.doc_id WHERE NOT s.is_new GROUP BY tf.term),
 n_fit AS (SELECT count(*) AS n FROM split WHERE NOT is_new),
 new_w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((n_fit.n + 1) / (coalesce(fit_df.df, 0) + 1)) AS w
