@@ -72,8 +72,10 @@ def hash_sample(df: DataFrame, h: str, most: int, by: str | None = None) -> Data
     remain than asked for, as with very uneven hashes, the result is smaller.
     """
     place = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")) if by else None
-    joined = df.join(counts, by) if by else df.withColumn("_n", F.lit(df.count()))
+    if by:  # written: the size of the counts is then known, and Spark need not deal the rows by a hot value
+        joined = df.join(materialise(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "counts"), by)
+    else:
+        joined = df.withColumn("_n", F.lit(df.count()))
     near = joined.filter(place * F.col("_n") < F.lit(3.0 * most)).drop("_n").withColumn("_place", place)
     if not by:
         return near.orderBy("_place", *df.columns).limit(most).drop("_place")
