@@ -35,11 +35,11 @@ def empty(spark):
 
 def test_components(spark):
     rng = random.Random(1)
-    links = [(a, a + 1) for a in range(0, 300)] + [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(350)]
+    links = [(a, a + 1) for a in range(0, 60)] + [(rng.randrange(400, 900), rng.randrange(400, 900)) for _ in range(350)]
     links += [(5, 5), (3, 2), (3, 2)] + [(2000, x) for x in range(1000, 1300)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     nodes = {x for p in links for x in p if p[0] != p[1]}
-    assert got == {k: v for k, v in brute.parts(nodes, links).items() if k in got} and len(got) == len(nodes)
+    assert got == {k: v for k, v in brute.parts(nodes, [p for p in links if p[0] != p[1]]).items() if k in got} and len(got) == len(nodes)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
