@@ -35,19 +35,3 @@ def money(c: str | Column) -> Column:
 
 def rounded(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits)
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least the cluster's default parallelism before
-    CPU-heavy per-row work (tokenizing, text features).
-
-    A small input stored as a single Parquet row group is read by one task;
-    a round-robin repartition lets every core work on it. Large inputs
-    already arrive in thousands of splits, so this is a no-op for them and
-    adds no shuffle.
-    """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

@@ -123,10 +123,16 @@ def density_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
 def impute_median(df: DataFrame, key: str, value: str, bad: Column, out_col: str) -> DataFrame:
     """Replace bad values with the exact median of the good ones.
 
-    The median is one aggregate row attached to every row (a broadcast of one
-    row); the rows themselves are never shuffled.
+    The good values get positions in their global order (range partitions and
+    offsets, no single sorting task); the median is the mean of the one or two
+    in the middle: one row, attached to every row. Nulls are no good values.
     """
-    med = df.filter(~bad).agg(F.percentile(value, 0.5).alias("_median"))
+    from .indexing import ordered_index
+    good = df.filter(~bad & F.col(value).isNotNull()).select(key, value)
+    n = good.agg(F.count(F.lit(1)).alias("_n"))
+    placed = attach_row(ordered_index(good, [value, key], "_at"), n)
+    middle = placed.filter((F.col("_at") == F.floor((F.col("_n") - 1) / 2)) | (F.col("_at") == F.floor(F.col("_n") / 2)))
+    med = middle.agg(F.avg(value).alias("_median"))
     return (attach_row(df.select(key, value, bad.alias("_bad")), med)
             .select(key, F.when(F.col("_bad"), F.col("_median")).otherwise(F.col(value)).alias(out_col),
                     F.col("_bad").alias("was_imputed")))

@@ -34,11 +34,9 @@ def explode_tokens(docs: DataFrame, key: str | None, text: str, kind: str, out:
     stay inside whole-stage codegen (array lambdas would not).
     """
     from ..functions import text as T
-    from .common import ensure_parallel
     raw = T.token_column(F.col(text), "whitespace" if kind == "whitespace" else "nonword")
     cols = ([key] if key else []) + [F.explode(raw).alias(out)]
-    src = ensure_parallel(docs.select(*([key] if key else []), text))
-    return src.select(*cols).filter(T.keep_token(F.col(out), kind))
+    return docs.select(*cols).filter(T.keep_token(F.col(out), kind))
 
 
 def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None) -> DataFrame:
@@ -46,10 +44,11 @@ def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None)
     ``extra_filters`` entry adds a distinct count of tokens passing a predicate.
     ``tokens_expr`` is an array column, or a DataFrame of exploded ``tok``."""
     toks = tokens_expr if isinstance(tokens_expr, DataFrame) else docs.select(F.explode(tokens_expr).alias("tok"))
-    aggs = [F.count(F.lit(1)).alias("n_tokens"), F.countDistinct("tok").alias("n_distinct")]
+    per = toks.filter("tok is not null").groupBy("tok").agg(F.count(F.lit(1)).alias("_n"))
+    aggs = [F.coalesce(F.sum("_n"), F.lit(0)).alias("n_tokens"), F.count(F.lit(1)).alias("n_distinct")]
     for name, pred in (extra_filters or {}).items():
-        aggs.append(F.countDistinct(F.when(pred(F.col("tok")), F.col("tok"))).alias(name))
-    return toks.agg(*aggs)
+        aggs.append(F.count_if(pred(F.col("tok"))).alias(name))
+    return per.agg(*aggs)
 
 
 def doc_terms(docs: DataFrame, key: str, tokens_expr=None, kind: str | None = None,
@@ -57,7 +56,8 @@ def doc_terms(docs: DataFrame, key: str, tokens_expr=None, kind: str | None = No
     """(key, term, tf): term frequency per document, aggregated map-side.
     Give either an array column ``tokens_expr`` or a tokenizer ``kind``."""
     if kind is not None:
-        toks = explode_tokens(docs, key, text, kind)
+        # texts are dealt by key once; the count per (key, term) then needs no shuffle of its own
+        toks = explode_tokens(docs.select(key, text).repartition(key), key, text, kind)
     else:
         toks = docs.select(key, F.explode(tokens_expr).alias("term"))
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))

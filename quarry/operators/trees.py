@@ -1,6 +1,5 @@
 """Decision trees (``pyspark.ml``) with impurity / depth / bins sweeps,
-categorical features declared through ``VectorIndexer`` metadata, and
-model introspection (depth, node count)."""
+categorical features declared by an arity map, and model introspection (depth, node count)."""
 
 from __future__ import annotations
 
@@ -10,9 +9,17 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 
 
-def _vec(df: DataFrame, features: str) -> DataFrame:
+def vectors(df: DataFrame, features: str, arities: dict[int, int] | None = None, width: int | None = None) -> DataFrame:
+    """``_fv``: the features as a vector. ``arities`` declares which positions
+    are categorical and how many 0-based codes each has; the data are not
+    looked at, so the same feature is of the same kind in every run."""
     from pyspark.ml.functions import array_to_vector
-    return df.withColumn("_fv", array_to_vector(V.as_doubles(F.col(features))))
+    fv = array_to_vector(V.as_doubles(F.col(features)))
+    if not arities:
+        return df.withColumn("_fv", fv)
+    attrs = {"nominal": [{"idx": j, "vals": [str(c) for c in range(n)]} for j, n in sorted(arities.items())],
+             "numeric": [{"idx": j} for j in range(width) if j not in arities]}
+    return df.withColumn("_fv", fv.alias("_fv", metadata={"ml_attr": {"attrs": attrs, "num_attrs": width}}))
 
 
 def fit_classifier(df: DataFrame, features: str, label: str, impurity: str, max_depth: int,
@@ -20,27 +27,19 @@ def fit_classifier(df: DataFrame, features: str, label: str, impurity: str, max_
     from pyspark.ml.classification import DecisionTreeClassifier
     dt = DecisionTreeClassifier(featuresCol="_fv", labelCol=label, impurity=impurity, maxDepth=max_depth,
                                 maxBins=max_bins, seed=42)
-    data = _vec(df, features)
+    data = vectors(df, features)
     return dt.fit(data), data
 
 
 def fit_regressor(df: DataFrame, features: str, label: str, max_depth: int, max_bins: int = 32,
-                  max_categories: int | None = None):
-    """Regression tree; features with at most ``max_categories`` distinct
-    values are treated as categorical (indexed to 0-based codes first)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorIndexer
+                  arities: dict[int, int] | None = None, width: int | None = None):
+    """Regression tree; ``arities`` ({position: number of codes}) declares the
+    categorical features of a vector of ``width`` positions, all others are
+    continuous. ``max_bins`` must reach the largest arity."""
     from pyspark.ml.regression import DecisionTreeRegressor
-    stages = []
-    fcol = "_fv"
-    if max_categories:
-        stages.append(VectorIndexer(inputCol="_fv", outputCol="_fi", maxCategories=max_categories))
-        fcol = "_fi"
-    stages.append(DecisionTreeRegressor(featuresCol=fcol, labelCol=label, maxDepth=max_depth, maxBins=max_bins,
-                                        seed=42))
-    data = _vec(df, features)
-    model = Pipeline(stages=stages).fit(data)
-    return model, data
+    dt = DecisionTreeRegressor(featuresCol="_fv", labelCol=label, maxDepth=max_depth, maxBins=max_bins, seed=42)
+    data = vectors(df, features, arities, width)
+    return dt.fit(data), data
 
 
 def introspect(tree_model) -> dict:

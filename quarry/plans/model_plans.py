@@ -15,10 +15,10 @@ from .text_plans import _pruned_tf
 
 # Gradient-descent settings of the four linear queries.
 GD = {
-    "logistic_gd": dict(loss="logistic", step=1.0, iters=3, reg="none", reg_param=0.0, intercept=False),
-    "svm_gd": dict(loss="hinge", step=1.0, iters=3, reg="l2", reg_param=0.01, intercept=False),
-    "linear_gd_l1": dict(loss="squared", step=0.1, iters=3, reg="l1", reg_param=1.0, intercept=False),
-    "linear_gd_l2": dict(loss="squared", step=0.1, iters=3, reg="l2", reg_param=1.0, intercept=True),
+    "logistic_gd": dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False),
+    "svm_gd": dict(loss="hinge", step=1.0, iters=10, reg="l2", reg_param=0.01, intercept=False),
+    "linear_gd_l1": dict(loss="squared", step=0.1, iters=10, reg="l1", reg_param=1.0, intercept=False),
+    "linear_gd_l2": dict(loss="squared", step=0.1, iters=10, reg="l2", reg_param=1.0, intercept=True),
 }
 
 
@@ -76,20 +76,19 @@ for _name in GD:
     register(_name, _gd_oracle(_name))(_gd_plan(_name))
 
 
-def _scored(t, name):
+def _scored(data, name):
     cfg = GD[name]
-    data = _gd_data(t, name, materialised=True)
     model = linear.gd_fit(data, **cfg)
     return data.select(model.predict(F.col("features")).alias("prediction"), "label")
 
 
 @register("classifier_metrics", "WITH " + S.PAGES_SQL + ",\n"
-          + S.gd_ctes("pc", 4, "logistic", 1.0, 3, "none", 0.0, False, "lw") + ",\n"
-          + S.gd_ctes("pc", 4, "hinge", 1.0, 3, "l2", 0.01, False, "sw") + """,
-lp AS (SELECT CASE WHEN 1.0 / (1.0 + exp(-(""" + S.margin_sql("lw3", 4, False) + """))) > 0.5 THEN 1.0 ELSE 0.0 END AS score,
-              label FROM pc, lw3),
-sp AS (SELECT CASE WHEN (""" + S.margin_sql("sw3", 4, False) + """) > 0.0 THEN 1.0 ELSE 0.0 END AS score,
-              label FROM pc, sw3)
+          + S.gd_ctes("pc", 4, "logistic", 1.0, 10, "none", 0.0, False, "lw") + ",\n"
+          + S.gd_ctes("pc", 4, "hinge", 1.0, 10, "l2", 0.01, False, "sw") + """,
+lp AS (SELECT CASE WHEN 1.0 / (1.0 + exp(-(""" + S.margin_sql("lw10", 4, False) + """))) > 0.5 THEN 1.0 ELSE 0.0 END AS score,
+              label FROM pc, lw10),
+sp AS (SELECT CASE WHEN (""" + S.margin_sql("sw10", 4, False) + """) > 0.0 THEN 1.0 ELSE 0.0 END AS score,
+              label FROM pc, sw10)
 SELECT 'logistic_gd' AS model, (SELECT count(*) FROM lp) AS n,
        CAST((SELECT sum(CASE WHEN score = label THEN 1 ELSE 0 END) FROM lp) AS BIGINT) AS n_correct,
        round((SELECT avg(CASE WHEN score = label THEN 1.0 ELSE 0.0 END) FROM lp), 6) AS accuracy,
@@ -101,10 +100,10 @@ SELECT 'svm_gd', (SELECT count(*) FROM sp), CAST((SELECT sum(CASE WHEN score = l
        round(b.area_under_roc, 6), round(b.area_under_pr, 6)
 FROM """ + S.areas_sql("sp") + " b")
 def classifier_metrics(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    data = Tables(spark, sf_dir).page_classification(materialised=True)
     outs = []
     for name in ("logistic_gd", "svm_gd"):
-        sc = _scored(t, name)
+        sc = _scored(data, name)
         acc = metrics.accuracy(sc)
         # hard 0/1 predictions: both curve areas from one confusion-count aggregate
         h = metrics.hard_label_summary(sc)
@@ -193,13 +192,11 @@ SELECT 'sample_10pct', count(*), CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBL
 """)
 def hash_split_sizes(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
-    train, test = tune.hash_split(ev, "event_id", 0.2)
-    sample = tune.hash_sample(ev, "event_id", 0.1)
     from ..operators.common import money
-    def summ(df, name):
-        return df.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("n"),
-                      F.sum(money("value")).cast("double").alias("value_sum"))
-    return summ(test, "test").unionByName(summ(train, "train")).unionByName(summ(sample, "sample_10pct"))
+    b = tune.hash_bucket(F.col("event_id"))
+    parts = F.array(F.when(b < 200, "test").otherwise("train"), F.when(b < 100, "sample_10pct"))
+    rows = ev.select(F.explode(F.array_compact(parts)).alias("split"), money("value").alias("v"))
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value_sum"))
 
 
 @register("anti_join_train", """
@@ -262,12 +259,40 @@ def regression_metrics(spark, sf_dir):
     return m.select("n", *[F.round(c, 6).alias(c) for c in ("mse", "rmse", "mae", "rmsle")])
 
 
-def _rmsle(model, df):
-    sc = df.select(model.predict(F.col("features")).alias("prediction"), "label")
-    return metrics.regression_metrics(sc).first()["rmsle"]
-
-
-@register("logistic_sweep")
+def _grid(base: dict, **values) -> list[tuple[str, object, dict]]:
+    """(name, value, settings) of one-at-a-time variations of ``base``."""
+    to_settings = {"iterations": lambda v: {"iters": v}, "step": lambda v: {"step": v},
+                   "l2": lambda v: {"reg": "l2", "reg_param": v}, "l1": lambda v: {"reg": "l1", "reg_param": v},
+                   "intercept": lambda v: {"intercept": bool(v)}}
+    return [(name, v, {**base, **to_settings[name](v)}) for name, vs in values.items() for v in vs]
+
+
+# The swept settings.
+LOGISTIC_GRID = _grid(dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False),
+                      iterations=(1, 5, 10, 50), step=(0.001, 0.01, 0.1, 1.0, 10.0), l2=(0.001, 0.01, 0.1, 1.0, 10.0))
+LINEAR_GRID = _grid(dict(loss="squared", step=0.1, iters=10, reg="none", reg_param=0.0, intercept=False),
+                    iterations=(1, 5, 10, 20, 50, 100), step=(0.01, 0.025, 0.05, 0.1, 1.0),
+                    l2=(0.0, 0.01, 0.1, 1.0, 5.0, 10.0, 20.0), l1=(0.0, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0),
+                    intercept=(0, 1))
+_BUCKET_SQL = "CAST('0x' || substr(md5(CAST({} AS VARCHAR)), 1, 8) AS BIGINT) % 1000"
+_MARGIN_SQL = "a0 * x0 + a1 * x1 + a2 * x2 + a3 * x3 + a4 * icpt"
+
+
+@register("logistic_sweep", "WITH RECURSIVE " + S.PAGES_SQL + """,
+zs AS (SELECT """ + ", ".join(f"avg(x{j}) AS m{j}, stddev_samp(x{j}) AS s{j}" for j in range(4)) + """ FROM pc),
+z AS (SELECT doc_id, label, """ + _BUCKET_SQL.format("doc_id") + " < 400 AS held, "
+          + ", ".join(f"CASE WHEN s{j} = 0 THEN 0.0 ELSE (x{j} - m{j}) / s{j} END AS x{j}" for j in range(4)) + """
+      FROM pc, zs),
+tr AS MATERIALIZED (SELECT * FROM z WHERE NOT held),
+""" + S.sweep_ctes(LOGISTIC_GRID, "tr", 4) + """,
+p AS (SELECT param, value, held, label, 1.0 / (1.0 + exp(-(""" + _MARGIN_SQL + """))) > 0.5 AS hit FROM fw CROSS JOIN z),
+r AS (SELECT param, value, held,
+             (count_if(hit AND label > 0.5) / count_if(label > 0.5)
+              + count_if(NOT hit AND label <= 0.5) / count_if(label <= 0.5)) / 2 AS auc FROM p GROUP BY ALL)
+SELECT param, value, round(max(CASE WHEN NOT held THEN auc END), 6) AS train_auc,
+       round(max(CASE WHEN held THEN auc END), 6) AS test_auc
+FROM r GROUP BY param, value
+""")
 def logistic_sweep(spark, sf_dir):
     """Iterations, step and L2 sweeps of the logistic model on standardised
     features; AUC (hard labels) on a 60/40 keyed hold-out."""
@@ -275,13 +300,9 @@ def logistic_sweep(spark, sf_dir):
     z = encode.standardise(pc, "features", "features_z").select("doc_id", F.col("features_z").alias("features"),
                                                                   "label")
     train, test = tune.hash_split(z, "doc_id", 0.4)
-    base = dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False)
-    grid = [("iterations", n, {**base, "iters": n}) for n in (1, 5, 10, 50)]
-    grid += [("step", s, {**base, "step": s}) for s in (0.001, 0.01, 0.1, 1.0, 10.0)]
-    grid += [("l2", r, {**base, "reg": "l2", "reg_param": r}) for r in (0.001, 0.01, 0.1, 1.0, 10.0)]
     train, test = train.persist(), test.persist()
     try:
-        models = linear.gd_fit_many(train, [cfg for _, _, cfg in grid], persist=False)
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LOGISTIC_GRID], persist=False)
 
         def aucs(df):   # every model's hard-label AUC from one aggregate
             preds = df.select("label", *[m.predict(F.col("features")).alias(f"p{i}") for i, m in enumerate(models)])
@@ -290,25 +311,49 @@ def logistic_sweep(spark, sf_dir):
     finally:
         train.unpersist()
         test.unpersist()
-    rows = [(name, float(v), float(a), float(b)) for (name, v, _), a, b in zip(grid, tr, te)]
-    return spark.createDataFrame(rows, "param string, value double, train_auc double, test_auc double")
-
-
-@register("linear_sweep")
+    rows = [(name, float(v), float(a), float(b)) for (name, v, _), a, b in zip(LOGISTIC_GRID, tr, te)]
+    return spark.createDataFrame(rows, "param string, value double, train_auc double, test_auc double").select(
+        "param", "value", F.round("train_auc", 6).alias("train_auc"), F.round("test_auc", 6).alias("test_auc"))
+
+
+@register("linear_sweep", "WITH RECURSIVE " + S.HOURLY_SQL + """,
+z AS MATERIALIZED (SELECT x0, x1, x2, x3, label, """ + _BUCKET_SQL.format("CAST(epoch(hour_start) AS BIGINT)")
+          + """ < 300 AS held FROM hdf),
+tr AS MATERIALIZED (SELECT * FROM z WHERE NOT held),
+""" + S.sweep_ctes(LINEAR_GRID, "tr", 4) + """,
+p AS (SELECT param, value, held, label, """ + _MARGIN_SQL + """ AS y FROM fw CROSS JOIN z),
+r AS (SELECT param, value, held, sqrt(avg(pow(ln(1 + greatest(y, 0)) - ln(1 + label), 2))) AS e FROM p GROUP BY ALL)
+SELECT r.param, r.value, round(max(CASE WHEN NOT held THEN e END), 6) AS train_rmsle,
+       round(max(CASE WHEN held THEN e END), 6) AS test_rmsle,
+       CAST(max((CASE WHEN a0 = 0 THEN 1 ELSE 0 END) + (CASE WHEN a1 = 0 THEN 1 ELSE 0 END)
+                + (CASE WHEN a2 = 0 THEN 1 ELSE 0 END) + (CASE WHEN a3 = 0 THEN 1 ELSE 0 END)) AS INTEGER) AS zero_weights
+FROM r JOIN fw ON r.param = fw.param AND r.value = fw.value GROUP BY r.param, r.value
+""")
 def linear_sweep(spark, sf_dir):
     """Iterations, step, L1 / L2 and intercept sweeps of the squared-loss
-    model on hourly demand; RMSLE on a 70/30 keyed hold-out."""
+    model on hourly demand: RMSLE on a 70/30 keyed hold-out, and how many of
+    the four feature weights are exactly zero."""
     hd = Tables(spark, sf_dir).hourly_demand().withColumnRenamed("cnt", "label")
     hd = hd.withColumn("_key", F.unix_timestamp(F.col("hour_start").cast("timestamp")))
     train, test = tune.hash_split(hd, "_key", 0.3)
-    base = dict(loss="squared", step=0.1, iters=10, reg="none", reg_param=0.0, intercept=False)
-    grid = [("iterations", n, {**base, "iters": n}) for n in (1, 5, 10, 20)]
-    grid += [("step", s, {**base, "step": s}) for s in (0.01, 0.025, 0.05, 0.1)]
-    grid += [("l2", r, {**base, "reg": "l2", "reg_param": r}) for r in (0.0, 0.01, 0.1, 1.0)]
-    grid += [("l1", r, {**base, "reg": "l1", "reg_param": r}) for r in (0.0, 0.01, 0.1, 1.0)]
-    grid += [("intercept", i, {**base, "intercept": bool(i)}) for i in (0, 1)]
-    rows = tune.gd_sweep(train, test, grid, _rmsle)
-    return spark.createDataFrame(rows, "param string, value double, train_rmsle double, test_rmsle double")
+    train, test = train.persist(), test.persist()
+    try:
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LINEAR_GRID], persist=False)
+
+        def rmsles(df):   # every model's error from one aggregate
+            y = F.log1p(F.col("label"))
+            errs = [F.pow(F.log1p(F.greatest(m.predict(F.col("features")), F.lit(0.0))) - y, 2) for m in models]
+            return df.agg(*[F.sqrt(F.avg(e)).alias(f"e{i}") for i, e in enumerate(errs)]).first()
+        tr, te = rmsles(train), rmsles(test)
+    finally:
+        train.unpersist()
+        test.unpersist()
+    rows = [(name, float(v), tr[i], te[i], sum(1 for w in models[i].weights[:4] if w == 0.0))
+            for i, (name, v, _) in enumerate(LINEAR_GRID)]
+    return spark.createDataFrame(
+        rows, "param string, value double, train_rmsle double, test_rmsle double, zero_weights int").select(
+        "param", "value", F.round("train_rmsle", 6).alias("train_rmsle"), F.round("test_rmsle", 6).alias("test_rmsle"),
+        "zero_weights")
 
 
 @register("naive_bayes_numeric", "WITH " + S.PAGES_SQL + """,

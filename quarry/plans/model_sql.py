@@ -32,7 +32,7 @@ def gd_ctes(data: str, d: int, loss: str, step: float, iters: int, reg: str, lam
     D = d + (1 if intercept else 0)
     xs = [f"x{j}" for j in range(d)] + (["1.0"] if intercept else [])
     init = ["0.0"] * d + (["1.0"] if intercept else [])
-    ctes = [f"{prefix}0 AS (SELECT " + ", ".join(f"{init[j]}::DOUBLE AS a{j}" for j in range(D)) + ")"]
+    ctes = [f"{prefix}0 AS MATERIALIZED (SELECT " + ", ".join(f"{init[j]}::DOUBLE AS a{j}" for j in range(D)) + ")"]
     for i in range(1, iters + 1):
         p = f"{prefix}{i - 1}"
         m = " + ".join(f"{p}.a{j} * {xs[j]}" for j in range(D))
@@ -54,10 +54,41 @@ def gd_ctes(data: str, d: int, loss: str, step: float, iters: int, reg: str, lam
                 v = f"({p}.a{j} - {eta} * g.g{j})"
                 u = f"sign({v}) * greatest(0.0, abs({v}) - {eta} * {lam})"
             ups.append(f"{u} AS a{j}")
-        ctes.append(f"{prefix}{i} AS (SELECT {', '.join(ups)} FROM (SELECT {grads} FROM {data}, {p}) g, {p})")
+        ctes.append(f"{prefix}{i} AS MATERIALIZED (SELECT {', '.join(ups)} FROM (SELECT {grads} FROM {data}, {p}) g, {p})")
     return ",\n".join(ctes)
 
 
+def sweep_ctes(grid: list[tuple[str, object, dict]], train: str, d: int) -> str:
+    """CTEs ``cfg`` (one row per grid entry) and ``fw`` (its weights a0..a{d}
+    after its iterations, a{d} the intercept): the same descent as ``gd_ctes``
+    as one recursion over the iterations. All entries share one loss."""
+    loss = grid[0][2]["loss"]
+    values = ", ".join(
+        f"({k}, '{name}', {float(v)}::DOUBLE, {float(c['step'])}::DOUBLE, {c['iters']}, '{c['reg']}', "
+        f"{float(c['reg_param'])}::DOUBLE, {1.0 if c['intercept'] else 0.0}::DOUBLE)"
+        for k, (name, v, c) in enumerate(grid))
+    a = [f"a{j}" for j in range(d + 1)]
+    xs = [f"x{j}" for j in range(d)] + ["icpt"]
+    m = " + ".join(f"{w} * {x}" for w, x in zip(a, xs))
+    err = f"(1.0 / (1.0 + exp(-({m}))) - label)" if loss == "logistic" else f"(({m}) - label)"
+    grads = ", ".join(f"avg({err} * {x}) AS g{j}" for j, x in enumerate(xs))
+    eta = "(step / sqrt(i + 1))"
+    ups = ", ".join(
+        f"CASE reg WHEN 'l1' THEN sign({w} - {eta} * g{j}) * greatest(0.0, abs({w} - {eta} * g{j}) - {eta} * lam) "
+        f"WHEN 'l2' THEN {w} * (1.0 - {eta} * lam) - {eta} * g{j} ELSE {w} - {eta} * g{j} END"
+        for j, w in enumerate(a))
+    cols = ", ".join(a)
+    return f"""cfg(id, param, value, step, iters, reg, lam, icpt) AS (VALUES {values}),
+gw AS (
+  SELECT id, 0 AS i, {", ".join(f"0.0::DOUBLE AS a{j}" for j in range(d))}, icpt AS a{d} FROM cfg
+  UNION ALL
+  SELECT id, i + 1, {ups}
+  FROM (SELECT gw.id, gw.i, {cols}, step, reg, lam, {grads}
+        FROM gw JOIN cfg ON gw.id = cfg.id CROSS JOIN {train} WHERE gw.i < cfg.iters
+        GROUP BY gw.id, gw.i, {cols}, step, reg, lam) g),
+fw AS (SELECT cfg.id, param, value, icpt, {cols} FROM gw JOIN cfg ON gw.id = cfg.id AND gw.i = cfg.iters)"""
+
+
 def weights_select(name: str, w: str, D: int) -> str:
     parts = [f"SELECT '{name}' AS model, {j} AS j, round(a{j}, 6) AS weight, a{j} = 0 AS is_zero FROM {w}"
              for j in range(D)]
