@@ -22,6 +22,7 @@ toks AS (SELECT doc_id, unnest({_NORM}) AS term FROM documents),
 cnt AS (SELECT term, count(*) AS n FROM toks GROUP BY term),
 tf AS (SELECT t.doc_id, t.term, count(*) AS tf FROM toks t JOIN cnt c ON t.term = c.term
        WHERE c.n >= 2 GROUP BY t.doc_id, t.term)"""
+_IS_NEW_SQL = "(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 200)"
 _IDF_SQL = """
 idf AS (SELECT term, count(*) AS df,
                ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf
@@ -171,29 +172,29 @@ def doc_cosine(spark, sf_dir):
 
 
 @register("tfidf_apply_new", f"""
-WITH {_TF_SQL},
-split AS (SELECT doc_id, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 200 AS is_new FROM documents),
-fit_df AS (SELECT tf.term, count(*) AS df FROM tf JOIN split s ON tf.doc_id = s.doc_id WHERE NOT s.is_new GROUP BY tf.term),
-n_fit AS (SELECT count(*) AS n FROM split WHERE NOT is_new),
-new_w AS (SELECT tf.doc_id, tf.term, tf.tf * ln((n_fit.n + 1) / (coalesce(fit_df.df, 0) + 1)) AS w
-          FROM tf JOIN split s ON tf.doc_id = s.doc_id LEFT JOIN fit_df ON tf.term = fit_df.term, n_fit WHERE s.is_new)
-SELECT doc_id, count(*) AS n_terms, round(sum(w), 6) AS weight_sum, round(max(w), 6) AS weight_max
-FROM new_w GROUP BY doc_id
+WITH {_TF_SQL.replace("FROM documents", "FROM documents WHERE NOT " + _IS_NEW_SQL)},
+fit_df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n_fit AS (SELECT count(*) AS n FROM documents WHERE NOT {_IS_NEW_SQL}),
+new_toks AS (SELECT doc_id, unnest({_NORM}) AS term FROM documents WHERE {_IS_NEW_SQL}),
+new_tf AS (SELECT doc_id, term, count(*) AS tf FROM new_toks GROUP BY doc_id, term),
+new_w AS (SELECT new_tf.doc_id, new_tf.tf * ln((n_fit.n + 1) / (fit_df.df + 1)) AS w
+          FROM new_tf JOIN fit_df ON new_tf.term = fit_df.term, n_fit)
+SELECT d.doc_id, count(w) AS n_terms, round(sum(w), 6) AS weight_sum, round(max(w), 6) AS weight_max
+FROM documents d LEFT JOIN new_w ON d.doc_id = new_w.doc_id WHERE {_IS_NEW_SQL.replace("doc_id", "d.doc_id")}
+GROUP BY d.doc_id
 """)
 def tfidf_apply_new(spark, sf_dir):
-    """Fit IDF on the training documents and apply it to new ones (a keyed
-    hold-out): a term unseen in training gets df = 0, i.e. the largest idf."""
+    """Vocabulary and IDF of the training documents alone, applied to new ones
+    (a keyed hold-out). Terms outside the vocabulary do not count; a new
+    document without any known term has no weights."""
     from ..operators import tune
-    t = Tables(spark, sf_dir)
-    tf = _pruned_tf(t.documents)
-    docs = t.documents.select("doc_id")
-    train_docs, new_docs = tune.hash_split(docs, "doc_id", 0.2)
-    fit_tf = tf.join(train_docs, "doc_id")
-    n_fit = train_docs.agg(F.count(F.lit(1)).alias("_N"))
-    df = fit_tf.groupBy("term").agg(F.count(F.lit(1)).alias("df_fit"))
     from ..operators.common import attach_row
-    new_tf = tf.join(new_docs, "doc_id").join(df, "term", "left")
-    w = attach_row(new_tf, n_fit).select(
-        "doc_id", (F.col("tf") * F.log((F.col("_N") + 1) / (F.coalesce("df_fit", F.lit(0)) + 1))).alias("w"))
-    return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("weight_sum"),
+    train_docs, new_docs = tune.hash_split(Tables(spark, sf_dir).documents, "doc_id", 0.2)
+    vocabulary = _pruned_tf(train_docs).select("term", "df").distinct()
+    n_fit = train_docs.agg(F.count(F.lit(1)).alias("_N"))
+    known = textops.doc_terms(new_docs, "doc_id", kind="normalised").join(vocabulary, "term")
+    w = attach_row(known, n_fit).select(
+        "doc_id", (F.col("tf") * F.log((F.col("_N") + 1) / (F.col("df") + 1))).alias("w"))
+    sums = w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("weight_sum"),
                                    F.round(F.max("w"), 6).alias("weight_max"))
+    return new_docs.select("doc_id").join(sums, "doc_id", "left").fillna(0, ["n_terms"])

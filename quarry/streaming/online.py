@@ -1,10 +1,10 @@
 """Online linear regression on a stream, with per-batch model monitoring.
 
 Every micro-batch, for every model: score the batch with the weights of the
-previous batch (test), append MSE / RMSE to a metrics table, then take one
-full-batch gradient step on the batch (train) and store the new weights under
-(model_id, batch_id). A batch that already has stored weights was processed
-before a failure and is skipped, so replays are idempotent.
+previous batch (test), write MSE / RMSE to a metrics table under its batch_id, then take one
+full-batch gradient step on the batch (train) and write the new weights the
+same way. A batch with stored weights was done before a failure and is
+skipped; one that failed between the two writes replaces its metrics.
 """
 
 from __future__ import annotations
@@ -16,14 +16,25 @@ from ..operators import linear
 from .replay import new_run_dir, read_stream, write_in_order
 
 
+_WEIGHTS = "model_id string, weights array<double>, batch_id long"
+_METRICS = "model_id string, n long, mse double, rmse double, batch_id long"
+
+
+def _store(rows: DataFrame, path: str) -> None:
+    """Write rows under their batch: a batch that comes again replaces its own rows."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
 def _load_weights(spark, path: str, models: dict[str, float], d: int) -> tuple[dict, int]:
-    """Latest stored weights per model (model-sized) and the last batch id."""
+    """Latest stored weights per model (model-sized) and the last batch id;
+    zero weights and -1 while the table is empty."""
     w = {m: [0.0] * d for m in models}
     last = -1
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (no weights written yet)
-        return w, last
+    df = _stored(spark, path, _WEIGHTS)
     for r in df.groupBy("model_id").agg(F.max_by(F.struct("batch_id", "weights"), "batch_id").alias("s")).collect():
         w[r["model_id"]] = list(r["s"]["weights"])
         last = max(last, r["s"]["batch_id"])
@@ -38,8 +49,17 @@ def online_regression(spark: SparkSession, points: DataFrame, order_key: str, nu
     run = run_dir or new_run_dir(spark, "online-regression")
     src = f"{run}/source"
     write_in_order(points.select(order_key, "features", "label"), order_key, src)
+    return resume(spark, run, num_features, models, trigger)
+
+
+def resume(spark: SparkSession, run: str, num_features: int, models: dict[str, float],
+           trigger: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Go on with the source, checkpoint and tables of folder ``run``, e.g. after a failed batch."""
+    src = f"{run}/source"
     schema = spark.read.parquet(src).schema
     wpath, mpath = f"{run}/weights", f"{run}/metrics"
+    for path, fields in ((wpath, _WEIGHTS), (mpath, _METRICS)):   # empty tables at first, so that every read finds one
+        spark.createDataFrame([], fields).write.mode("append").partitionBy("batch_id").parquet(path)
 
     def per_batch(batch: DataFrame, batch_id: int):
         weights, last = _load_weights(spark, wpath, models, num_features)
@@ -62,10 +82,10 @@ def online_regression(spark: SparkSession, points: DataFrame, order_key: str, nu
                 fit = linear.gd_fit(data, loss="squared", step=step, iters=1, reg="none",
                                     intercept=False, w0=weights[m], persist=False)
                 new_w.append((m, batch_id, fit.weights))
-            (spark.createDataFrame(mrows, "model_id string, batch_id long, n long, mse double")
-             .withColumn("rmse", F.sqrt("mse")).write.mode("append").parquet(mpath))
-            (spark.createDataFrame(new_w, "model_id string, batch_id long, weights array<double>")
-             .write.mode("append").parquet(wpath))
+            _store(spark.createDataFrame(mrows, "model_id string, batch_id long, n long, mse double")
+                   .withColumn("rmse", F.sqrt("mse")), mpath)
+            # last: a batch counts as done once its weights are there
+            _store(spark.createDataFrame(new_w, "model_id string, batch_id long, weights array<double>"), wpath)
         finally:
             data.unpersist()
 
@@ -73,4 +93,4 @@ def online_regression(spark: SparkSession, points: DataFrame, order_key: str, nu
          .option("checkpointLocation", f"{run}/checkpoint").trigger(**(trigger or {"availableNow": True}))
          .start())
     q.awaitTermination()
-    return spark.read.parquet(wpath), spark.read.parquet(mpath)
+    return _stored(spark, wpath, _WEIGHTS), _stored(spark, mpath, _METRICS)

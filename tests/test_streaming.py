@@ -2,6 +2,7 @@
 equal the batch computations, whatever the number of micro-batches."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -74,3 +75,29 @@ def test_custom_state_equals_builtin_state(spark):
     a = {r.user: (r.n_purchases, float(r.revenue)) for r in stats.user_state(spark, p).collect()}
     b = {r.user: (r.n_purchases, float(r.revenue)) for r in stats.user_state_custom(spark, p).collect()}
     assert a == b
+
+
+def test_online_batch_that_fails_between_its_writes(spark, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+    from quarry.streaming.replay import new_run_dir, write_in_order
+    pts = spark.range(60).select((F.col("id") % 3).cast("int").alias("step"),
+                                 F.array(F.col("id") / 60.0, F.lit(1.0)).alias("features"),
+                                 (F.col("id") / 30.0).alias("label"))
+    models = {"m": 0.1}
+    want_w, want_m = online.online_regression(spark, pts, "step", 2, models)
+    run = new_run_dir(spark, "online-broken")
+    write_in_order(pts, "step", f"{run}/source")
+    store, calls = online._store, []
+
+    def failing(rows, path):
+        calls.append(path)
+        if len(calls) == 4:   # second batch: its metrics are written, its weights are not
+            raise OSError("lost")
+        store(rows, path)
+    monkeypatch.setattr(online, "_store", failing)
+    with pytest.raises(StreamingQueryException):
+        online.resume(spark, run, 2, models)
+    got_w, got_m = online.resume(spark, run, 2, models)
+    rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    assert rows(got_w) == rows(want_w) and rows(got_m) == rows(want_m)
+    assert got_m.count() == 3
