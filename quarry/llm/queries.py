@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load_table
-from . import (chat_format, decontaminate, embed_dedup, lang_id, license_scan, mixture, pii, quality, simhash_dedup,
+from . import (chat_format, decontaminate, embed_dedup, lang_id, license_scan, mixture, pii, quality, simhash_dedup, sql,
                token_count)
 
 
@@ -98,4 +98,6 @@ def queries() -> dict:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    """Digests that need XXH64, a tokenizer, a learned model or an expression parser have none."""
+    return {"op1_embedding_dedup": sql.EMBEDDINGS.strip(), "op6_chat_format": sql.CHAT.strip(),
+            "op8_decontamination": sql.DECONTAMINATION.strip()}
