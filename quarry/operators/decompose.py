@@ -2,8 +2,8 @@
 
 The d x d Gramian of the centred rows is the only thing that leaves the
 executors: every partition multiplies its own block (NumPy inside the task),
-and the per-partition d x d results are summed by a group-by on (i, j).
-The eigen-decomposition of that d x d matrix is model-sized driver work.
+and the per-partition results, d rows of d numbers, are dealt by row and
+summed there. The eigen-decomposition of that d x d matrix is model-sized driver work.
 """
 
 from __future__ import annotations
@@ -24,8 +24,12 @@ def column_means(df: DataFrame, vec: str) -> DataFrame:
         F.col("_s.m").alias("_mean"))
 
 
-def gramian(df: DataFrame, vec: str, centre: bool = True) -> DataFrame:
-    """Long (i, j, value) Gramian of the (centred) rows."""
+def gramian_rows(df: DataFrame, vec: str, centre: bool = True) -> DataFrame:
+    """(i, row): the Gramian of the (centred) rows, one array of d values a row.
+
+    A partition ships d packed rows, whatever its number of input rows; a task
+    of the sum holds only the matrix rows dealt to it.
+    """
     x = df.select(V.as_doubles(F.col(vec)).alias("_x"))
     if centre:
         x = attach_row(x, column_means(df, vec)).select(
@@ -41,23 +45,29 @@ def gramian(df: DataFrame, vec: str, centre: bool = True) -> DataFrame:
             g = m.T @ m
             acc = g if acc is None else acc + g
         if acc is not None:
-            d = acc.shape[0]
-            ii, jj = np.meshgrid(np.arange(d), np.arange(d), indexing="ij")
-            yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                                "value": acc.ravel()})
-
-    parts = x.mapInPandas(block, "i int, j int, value double")
-    return parts.groupBy("i", "j").agg(F.sum("value").alias("value"))
-
-
-def gramian_matrix(g: DataFrame) -> np.ndarray:
-    """Collect the d x d Gramian (model-sized) into a NumPy matrix."""
-    rows = g.collect()
-    d = max(r["i"] for r in rows) + 1
-    m = np.zeros((d, d))
-    for r in rows:
-        m[r["i"], r["j"]] = r["value"]
-    return m
+            yield pd.DataFrame({"i": np.arange(len(acc), dtype="int32"), "row": list(acc)})
+
+    def add(it):
+        import pandas as pd
+        acc: dict = {}
+        for pdf in it:
+            for i, row in zip(pdf["i"], pdf["row"]):
+                acc[i] = acc[i] + row if i in acc else np.array(row)
+        if acc:
+            yield pd.DataFrame({"i": np.array(list(acc), dtype="int32"), "row": list(acc.values())})
+
+    schema = "i int, row array<double>"
+    return x.mapInPandas(block, schema).repartition("i").mapInPandas(add, schema)
+
+
+def gramian(df: DataFrame, vec: str, centre: bool = True) -> DataFrame:
+    """Long (i, j, value) Gramian of the (centred) rows."""
+    return gramian_rows(df, vec, centre).select("i", F.posexplode("row").alias("j", "value"))
+
+
+def gramian_matrix(rows: DataFrame) -> np.ndarray:
+    """Collect the d rows of ``gramian_rows`` (model-sized) into a NumPy matrix."""
+    return np.array([r["row"] for r in sorted(rows.collect(), key=lambda r: r["i"])])
 
 
 def svd_from_gramian(g: np.ndarray, k: int):

@@ -13,4 +13,5 @@ from . import model_plans  # noqa: F401
 from . import cluster_plans  # noqa: F401
 from . import ml_plans  # noqa: F401
 from . import check_plans  # noqa: F401
+from . import study_plans  # noqa: F401
 from . import stream_plans  # noqa: F401
