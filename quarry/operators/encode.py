@@ -35,7 +35,7 @@ def one_hot(df: DataFrame, key: str, cat: str) -> DataFrame:
     categories, and AQE broadcasts it at runtime when it is small. A row with
     a null category keeps a null index and a null indicator.
     """
-    idx = category_index(df, cat)
+    idx = category_index(df.filter(F.col(cat).isNotNull()), cat)
     k = idx.agg(F.count(F.lit(1)).cast("int").alias("_k"))
     rows = attach_row(df.select(key, cat).join(idx, cat, "left"), k)
     return rows.select(key, cat, "category_index",
