@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..sources.files import materialise
 
 __all__ = ["Shared", "append_columns", "byte_words", "alnum_words", "block_rows", "runs", "pairs_in_runs",
-           "forest", "hash_sample", "materialise", "code_point_order"]
+           "forest", "hash_sample", "materialise", "code_point_order", "passage"]
 
 _ASCII_TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() else 32
                      for c in range(256))
@@ -69,20 +69,39 @@ def hash_sample(df: DataFrame, h: str, most: int, by: str | None = None) -> Data
     A count first gives the share of rows that could be among them (three
     times as many on average), and only those leave their task, so neither
     the driver nor a task gets ``most`` rows from every task. Should fewer
-    remain than asked for, as with very uneven hashes, the result is smaller.
+    remain than asked for, as with very uneven hashes, the result is smaller;
+    a value of ``by`` always keeps the rows of its smallest hash.
     """
     place = F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
     if by:  # written: the size of the counts is then known, and Spark need not deal the rows by a hot value
-        joined = df.join(materialise(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "counts"), by)
+        joined = df.join(materialise(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_least")),
+                                     "counts"), by)
     else:
-        joined = df.withColumn("_n", F.lit(df.count()))
-    near = joined.filter(place * F.col("_n") < F.lit(3.0 * most)).drop("_n").withColumn("_place", place)
+        joined = df.withColumn("_n", F.lit(df.count())).withColumn("_least", F.lit(0.0))
+    near = (joined.filter((place * F.col("_n") < F.lit(3.0 * most)) | (place <= F.col("_least"))).drop("_n", "_least")
+            .withColumn("_place", place))
     if not by:
         return near.orderBy("_place", *df.columns).limit(most).drop("_place")
     rank = F.row_number().over(Window.partitionBy(by).orderBy("_place", *df.columns))
     return near.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank", "_place")
 
 
+def passage(text: Column, h: Column, longest: int, mark: str) -> Column:
+    """The text, or of one over ``longest`` characters a passage of that length
+    less the words cut at its ends. Its middle is the first character of the
+    class ``mark`` after a place given by the hash ``h`` (from the start if
+    none comes after it)."""
+    n = F.length(text)
+    start = F.pmod(h, F.greatest(n, F.lit(1)).cast("long")).cast("int")
+    ahead = F.length(F.split(F.substring(text, start + 1, n), mark, 2)[0])
+    at = F.when(start + ahead < n, start + ahead).otherwise(F.length(F.split(text, mark, 2)[0]))
+    lo = F.greatest(F.lit(0), F.least(at - longest // 2, n - longest))
+    cut = F.substring(text, lo + 1, F.lit(longest))
+    cut = F.when(lo > 0, F.regexp_replace(cut, r"^\S+\s+(?=\S)", "")).otherwise(cut)
+    cut = F.when(lo + longest < n, F.regexp_replace(cut, r"(?<=\S)\s+\S+$", "")).otherwise(cut)
+    return F.when(n > longest, cut).otherwise(text)
+
+
 def byte_words(raw: bytes | None) -> list[bytes]:
     """Lower-cased (A-Z) words ``[^\\x20\\x09-\\x0D]+`` of a UTF-8 text."""
     return raw.lower().split() if raw else []

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, append_columns, hash_sample
+from .common import Shared, append_columns, hash_sample, passage
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -174,14 +174,17 @@ def train(samples: list[tuple[str, str]], rounds: int = 30, l2: float = 1.0, see
 
 def training_sample(docs: DataFrame, usable, text: str = "text", lang: str = "lang", id_col: str = "doc_id",
                     per_label: int = 80, most: int = 1600, longest: int = 6_000) -> list[tuple[str, str]]:
-    """At most ``per_label`` labelled texts of up to ``longest`` characters a
-    label and ``most`` in all, chosen by a hash of the id: the bound of what
-    the driver gets."""
+    """At most ``per_label`` labelled texts a label and ``most`` in all, shared
+    evenly, but one at least of each label, chosen by a hash of the id. Of a
+    text over ``longest`` characters a passage of that length is taken: the
+    bound of what the driver gets. Texts without a letter are left out."""
     rows = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l"),
                        F.xxhash64(F.col(id_col).cast("string"), F.lit(17)).alias("h"), usable.alias("ok")).filter(
-        F.col("ok") & F.col("l").isNotNull() & F.col("t").isNotNull() & (F.length("t") <= longest))
-    few = hash_sample(rows.select("t", "l", "h"), "h", per_label, "l")
-    return [(r.t, r.l) for r in few.orderBy("h", "l", "t").limit(most).collect()]
+        F.col("ok") & F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
+    labels = rows.agg(F.count_distinct("l")).first()[0]
+    share = max(1, min(per_label, most // max(1, labels)))
+    few = hash_sample(rows.select(passage(F.col("t"), F.col("h"), longest, r"\p{L}").alias("t"), "l", "h"), "h", share, "l")
+    return [(r.t, r.l) for r in few.orderBy("h", "l", "t").collect()]
 
 
 _WORKER: dict = {}

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, append_columns, hash_sample
+from .common import Shared, append_columns, hash_sample, passage
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -286,12 +286,12 @@ def train(texts: list[str], rounds: int = 25, most: int = 500, longest: int = 60
 
 
 def training_sample(docs: DataFrame, text: str = "text", most: int = 1_500, longest: int = 8_000) -> list[str]:
-    """At most ``most`` texts of up to ``longest`` characters that hold a digit
-    or an at sign, chosen by a hash of the text: the bound of what the driver
-    gets. Copies of a text count once, so a large group of copies can't fill
-    the sample."""
-    t = docs.select(F.col(text).alias("t")).filter((F.length("t") <= longest) & F.col("t").rlike("[0-9@]"))
-    marked = t.withColumn("h", F.xxhash64("t", F.lit(5)))
+    """At most ``most`` texts that hold a digit or an at sign, chosen by a hash
+    of the text; of one over ``longest`` characters a passage of that length
+    around such a sign: the bound of what the driver gets. Copies of a text
+    count once, so a large group of copies can't fill the sample."""
+    t = docs.select(F.col(text).alias("t")).filter(F.col("t").rlike("[0-9@]")).withColumn("h", F.xxhash64("t", F.lit(5)))
+    marked = t.withColumn("t", passage(F.col("t"), F.col("h"), longest, "[0-9@]"))
     few = marked.join(hash_sample(marked.select("h").distinct(), "h", most), "h").groupBy("h").agg(F.min("t").alias("t"))
     return [r.t for r in few.orderBy("h").collect()]
 
