@@ -30,12 +30,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each SimHash component (3-word
-    shingles, 2 bits); repeated rows of it count once, documents without an id stay."""
+    shingles, 2 bits); repeated rows of it count once. Of the documents without
+    an id, one of each fingerprint stays."""
     found = simhash_dedup.near_duplicates(docs, shingle=3, max_bits=2)
     kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
     once = named.dropDuplicates(["doc_id"]) if _repeats(kept, found) else named
-    return once.unionByName(docs.filter("doc_id is null"))
+    nameless = simhash_dedup.fingerprints(docs.filter("doc_id is null"), "text", 3, "_fingerprint")
+    return once.unionByName(nameless.dropDuplicates(["_fingerprint"]).select(*docs.columns))
 
 
 def _repeats(kept: DataFrame, found: DataFrame) -> bool:
@@ -62,8 +64,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixture.mix(docs).filter("copies > 0").groupBy("doc_id", "source", "unit").agg(F.max("copies").alias("copies"))
     taken = materialise(taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
                                      F.col("unit").alias("_unit"), "copies"), "taken")
-    keyed = docs.withColumn("_u", F.xxhash64("text", "doc_id"))
-    both = keyed.join(taken, (F.col("_u") == F.col("_unit")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    keyed = docs.withColumn("unit", F.xxhash64("text", "doc_id"))
+    keyed = mixture.own_units(keyed, ["unit", "doc_id", "source"])
+    both = keyed.join(taken, (F.col("unit") == F.col("_unit")) & F.col("doc_id").eqNullSafe(F.col("_id"))
                       & F.col("source").eqNullSafe(F.col("_source")))
     return both.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
 

@@ -68,6 +68,39 @@ def _pair(state: Column, unit: Column, level: int, seed: int) -> Column:
             F.concat(state["done"], F.array(F.when(held_goes, settled(held)).otherwise(settled(unit))))).alias("done"))
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & a[k].eqNullSafe(b["_" + k])
+    return same
+
+
+def own_units(rows: DataFrame, keys: list[str], block: int = 8192) -> DataFrame:
+    """The rows with a ``unit`` of their own: the j-th of several rows with
+    equal ``keys`` (unit among them) gets a hash of unit and j, the first keeps it.
+
+    Only repeated rows are numbered: written once, then counted in blocks of
+    at most ``block`` rows, so a key of any size is not one task. Which of
+    the equal rows gets which number is open.
+    """
+    often = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    often = materialise(often.select(*[F.col(k).alias("_" + k) for k in keys]), "repeated-units")
+    if often.isEmpty():
+        return rows
+    same = _same(rows, often, keys)
+    again = materialise(rows.join(often, same, "left_semi").withColumn("_at", F.monotonically_increasing_id()), "repeated-rows")
+    again = again.withColumn("_part", F.floor(F.col("_at") / F.lit(block)))
+    sizes = materialise(again.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n")), "repeated-parts")
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = sizes.select(*[F.col(k).alias("_" + k) for k in keys], F.col("_part").alias("__part"),
+                         F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("_at")) - 1
+    again = again.withColumn("_j", within)
+    again = (again.join(ahead, _same(again, ahead, [*keys, "_part"])).withColumn("_j", F.col("_j") + F.col("_before"))
+             .withColumn("unit", F.when(F.col("_j") == 0, F.col("unit")).otherwise(F.xxhash64("unit", "_j"))))
+    return rows.join(often, same, "left_anti").select(*rows.columns).unionByName(again.select(*rows.columns))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights=(3, 1, 2),
         share: float = 1.5, most: float = 2.0, seed: int = 11, fan_in: int = 256) -> DataFrame:
     """(doc_id, source, unit, size, source_size, target, copies, taken): one row per row of ``docs``.
@@ -89,12 +122,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     Null sources form a source of their own, the last. A source of size 0 has
     target 0. Null ids are kept; repeated rows are rounded one by one. An
     empty table gives an empty result. Other columns are ignored. ``unit`` is a
-    hash of the text and the id.
+    hash of the text and the id; of rows that share id, source and text, the
+    later ones get hashes of their own (``own_units``).
     """
     sized = materialise(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source).cast("string").alias("source"),
-        F.xxhash64(text, id_col).alias("u"),
+        F.xxhash64(text, id_col).alias("unit"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
+    numbered = own_units(sized, ["unit", "doc_id", "source"])
+    sized = (sized if numbered is sized else materialise(numbered, "units")).withColumnRenamed("unit", "u")
     targets = materialise(source_targets(sized, weights, share, most), "targets")
     rate = F.least(F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)),
                    F.lit(float(most)))
