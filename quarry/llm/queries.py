@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import load_table
-from . import (chat_format, decontaminate, embed_dedup, lang_id, license_scan, mixture, pii, quality, simhash_dedup, sql,
-               token_count)
+from . import (chat_format, decontaminate, divergence, embed_dedup, fill_middle, lang_id, license_scan, mixture, pii,
+               quality, simhash_dedup, sql, suffix_dedup, token_count)
 
 
 def _crc(id_col: str, mod: int):
@@ -87,6 +87,22 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(load_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(load_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.fill_in_middle(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.repeated_passages(docs, length=200, keep=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -94,10 +110,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {f.__name__: f for f in (op1_embedding_dedup, op2_token_counts, op3_simhash_dedup, op4_pii, op5_quality,
                                     op6_chat_format, op7_language, op8_decontamination, op9_licences, op10_mixture,
-                                    pipeline)}
+                                    op11_divergence, op12_fill_in_middle, op13_suffix_dedup, pipeline)}
 
 
 def oracles() -> dict[str, str]:
     """Digests that need XXH64, a tokenizer, a learned model or an expression parser have none."""
     return {"op1_embedding_dedup": sql.EMBEDDINGS.strip(), "op6_chat_format": sql.CHAT.strip(),
-            "op8_decontamination": sql.DECONTAMINATION.strip()}
+            "op8_decontamination": sql.DECONTAMINATION.strip(), "op11_divergence": sql.DIVERGENCE.strip(),
+            "op12_fill_in_middle": sql.FILL.strip()}

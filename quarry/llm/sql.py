@@ -63,3 +63,53 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(p.n_hit, 0) AS n_hit, coalesce(i.
        sha256(coalesce(i.listed, '')) AS items_sha256, coalesce(p.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN items i ON i.doc_id = d.doc_id
 """
+
+#: Every kept term against every two groups of a lang, counts of zero included.
+DIVERGENCE = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+said AS MATERIALIZED (SELECT i, lang, source, term, count(*) AS n FROM (SELECT i, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n)::HUGEINT AS n FROM said GROUP BY lang, term HAVING count(*) >= 30),
+langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n) AS total FROM kept GROUP BY lang),
+cnt AS MATERIALIZED (SELECT lang, source, term, sum(said.n)::HUGEINT AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS MATERIALIZED (SELECT lang, source, coalesce((SELECT sum(n) FROM cnt WHERE cnt.lang = g.lang AND cnt.source = g.source), 0)::HUGEINT AS total
+        FROM (SELECT DISTINCT lang, source FROM d) g),
+p AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(cnt.n, 0) AS n,
+         1 + 1000000000::HUGEINT * (coalesce(cnt.n, 0) + 5) // (grp.total + 5 * langs.v) AS p,
+         1 + 1000000000::HUGEINT * (kept.n + 5) // (langs.total + 5 * langs.v) AS q
+  FROM grp JOIN langs USING (lang) JOIN kept USING (lang) LEFT JOIN cnt USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+raised AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)))::INTEGER AS rank FROM pairs
+UNION ALL
+SELECT * FROM (SELECT *, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)))::INTEGER AS rank FROM raised)
+WHERE rank <= 50
+"""
+
+#: Lines as lists, the hash as hex digits.
+FILL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, l, len(l) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(l) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(l) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+s AS (
+  SELECT doc_id, t, n, form, array_to_string(l[1:least(x, y)], '') AS p, array_to_string(l[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(l[greatest(x, y) + 1:], '') AS s FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s
+"""
