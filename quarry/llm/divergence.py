@@ -27,7 +27,7 @@ def terms(raw: bytes | None) -> list[bytes]:
     return raw.translate(_LETTERS).split() if raw else []
 
 
-def term_counts(docs: DataFrame, within: str, group: str, text: str) -> DataFrame:
+def term_counts(docs: DataFrame, within: str, group: str, text: str, held_entries: int = HELD) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents with the term.
     Tasks count first, so a hot group is some rows per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,7 +52,7 @@ def term_counts(docs: DataFrame, within: str, group: str, text: str) -> DataFram
                 found = terms(raw)
                 n.update(found)
                 d.update(set(found))
-            if sum(len(n) for n, _ in held.values()) > HELD:
+            if sum(len(n) for n, _ in held.values()) > held_entries:
                 yield rows()
         yield rows()
 
@@ -66,7 +66,8 @@ def _named(c: str) -> Column:
 
 
 def source_divergence(docs: DataFrame, text: str = "text", within: str = "lang", group: str = "source",
-                      min_docs: int = 30, smoothing: int = 5, scale: int = 1_000_000_000, top: int = 50) -> DataFrame:
+                      min_docs: int = 30, smoothing: int = 5, scale: int = 1_000_000_000, top: int = 50,
+                      block: int = BLOCK, band: int = ROWS, held: int = HELD) -> DataFrame:
     """(lang, source, part, item, value, rank) per (lang, source) group.
 
     Terms are those in at least ``min_docs`` documents of the lang (V of them).
@@ -81,11 +82,12 @@ def source_divergence(docs: DataFrame, text: str = "text", within: str = "lang",
     Repeated rows count as often as they occur; other columns play no part.
 
     Counts are aggregated in tasks first. The index of a lang is dealt by term
-    to blocks of about ``BLOCK`` postings; a task holds one block and the
-    accumulators of ``ROWS`` groups. The driver gets nothing. Windows run over
+    to blocks of about ``block`` postings; a task holds one block and the
+    accumulators of ``band`` groups. A counting task holds about ``held``
+    entries and the terms of one batch. The driver gets nothing. Windows run over
     the sources of a lang, or keep ``top`` rows of a group.
     """
-    counted = materialise(term_counts(docs, within, group, text), "term-counts")
+    counted = materialise(term_counts(docs, within, group, text, held), "term-counts")
     kept = (counted.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
             .filter(F.col("docs") >= min_docs).select("lang", "term", "lang_n"))
     kept = materialise(kept, "kept-terms")
@@ -109,25 +111,25 @@ def source_divergence(docs: DataFrame, text: str = "text", within: str = "lang",
     raised = rows.filter("p > q").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"),
                                          (F.col("p") - F.col("q")).alias("value"))
     raised = raised.withColumn("rank", F.row_number().over(by_value)).filter(F.col("rank") <= top)
-    return _pairs(groups, rows, p).withColumn("rank", F.row_number().over(by_value)).unionByName(raised)
+    return _pairs(groups, rows, p, block, band).withColumn("rank", F.row_number().over(by_value)).unionByName(raised)
 
 
-def _pairs(groups: DataFrame, rows: DataFrame, p) -> DataFrame:
+def _pairs(groups: DataFrame, rows: DataFrame, p, block: int, band: int) -> DataFrame:
     """(lang, source, part, item, value) of every two groups of a lang."""
     zero = F.when(F.col("v") > 0, p("0", "total")).otherwise(F.lit(0))
     sizes = (groups.groupBy("lang").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum("own") / BLOCK)).cast("int").alias("blocks"),
-        F.ceil(F.count(F.lit(1)) / ROWS).cast("int").alias("bands"), F.max("v").alias("v"),
+        F.greatest(F.lit(1), F.ceil(F.sum("own") / block)).cast("int").alias("blocks"),
+        F.ceil(F.count(F.lit(1)) / band).cast("int").alias("bands"), F.max("v").alias("v"),
         F.transform(F.array_sort(F.collect_list(F.struct("g", zero.alias("z")))), lambda s: s["z"]).alias("zeros")))
     sizes = materialise(sizes, "index-sizes")
-    band = F.explode(F.sequence(F.lit(0), F.col("bands") - 1)).alias("band")
-    tasks = (sizes.select("lang", "v", "zeros", "blocks", band)
+    bands = F.explode(F.sequence(F.lit(0), F.col("bands") - 1)).alias("band")
+    tasks = (sizes.select("lang", "v", "zeros", "blocks", bands)
              .select("lang", "v", "zeros", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
     index = (rows.join(sizes.select("lang", "blocks", "bands"), "lang")
-             .select("lang", F.pmod(F.xxhash64("term"), F.col("blocks").cast("long")).cast("int").alias("block"), band, "term", "g", "p"))
+             .select("lang", F.pmod(F.xxhash64("term"), F.col("blocks").cast("long")).cast("int").alias("block"), bands, "term", "g", "p"))
     keys = ["lang", "block", "band"]
     sums = (index.groupBy(*keys).cogroup(tasks.groupBy(*keys))
-            .applyInPandas(_accumulate, "lang string, g int, sums array<long>")
+            .applyInPandas(_accumulate(band), "lang string, g int, sums array<long>")
             .select("lang", "g", F.posexplode("sums").alias("peer", "value"))
             .groupBy("lang", "g", "peer").agg(F.sum("value").alias("value")).filter("g <> peer"))
     return (sums.join(groups.select("lang", "g", "source"), ["lang", "g"])
@@ -135,7 +137,7 @@ def _pairs(groups: DataFrame, rows: DataFrame, p) -> DataFrame:
             .select("lang", "source", F.lit("pair").alias("part"), "item", "value"))
 
 
-def _accumulate(index: pd.DataFrame, task: pd.DataFrame) -> pd.DataFrame:
+def _accumulate(rows: int):
     """Of one block of terms, the sums of each row of one band over all peers.
 
     With z the p of a count of zero, a term adds |z_i - z_j| if neither group
@@ -144,33 +146,33 @@ def _accumulate(index: pd.DataFrame, task: pd.DataFrame) -> pd.DataFrame:
     row scatters its terms: for every posting of a term it adds, to the peer's
     place, what |p_i - p_j| is more than the baselines.
     """
-    if not len(task):
-        return pd.DataFrame({"lang": [], "g": [], "sums": []})
-    lang, v, block, band = (task[c].iloc[0] for c in ("lang", "v", "block", "band"))
-    z = np.asarray(task["zeros"].iloc[0], np.int64)
-    first, last = int(band) * ROWS, min((int(band) + 1) * ROWS, len(z))
-    code, _ = pd.factorize(index["term"])
-    g, value = index["g"].to_numpy(np.int64), index["p"].to_numpy(np.int64)
-    by_term = np.argsort(code, kind="stable")  # term-major: the postings of a term lie together
-    peer, held = g[by_term], value[by_term]
-    ends = np.cumsum(np.bincount(code, minlength=1))
-    by_row = np.lexsort((value, g))
-    row_at = np.searchsorted(g[by_row], np.arange(len(z) + 1))
-    apart = np.abs(z[first:last, None] - z[None, :])
-    own, other = np.empty_like(apart), np.empty_like(apart)
-    for r in range(len(z)):  # sums of |p - z_j| - |z_r - z_j| over the terms of row r
-        mine = value[by_row[row_at[r]:row_at[r + 1]]]
-        if first <= r < last:
-            own[r - first] = _distances(mine, z) - len(mine) * apart[r - first]
-        other[:, r] = _distances(mine, z[first:last]) - len(mine) * apart[:, r]
-    sums = own + other + (apart * int(v) if block == 0 else 0)
-    for r in range(first, last):
-        mine = by_row[row_at[r]:row_at[r + 1]]
-        n = np.diff(np.append(0, ends))[code[mine]]
-        posting = np.repeat(ends[code[mine]] - np.cumsum(n), n) + np.arange(n.sum())
-        j, q, x = peer[posting], held[posting], np.repeat(value[mine], n)
-        np.add.at(sums[r - first], j, np.abs(x - q) - np.abs(x - z[j]) - np.abs(q - z[r]) + np.abs(z[r] - z[j]))
-    return pd.DataFrame({"lang": lang, "g": np.arange(first, last), "sums": list(sums)})
+    def run(index: pd.DataFrame, task: pd.DataFrame) -> pd.DataFrame:
+        lang, v, block, band = (task[c].iloc[0] for c in ("lang", "v", "block", "band"))
+        z = np.asarray(task["zeros"].iloc[0], np.int64)
+        first, last = int(band) * rows, min((int(band) + 1) * rows, len(z))
+        code, _ = pd.factorize(index["term"])
+        g, value = index["g"].to_numpy(np.int64), index["p"].to_numpy(np.int64)
+        by_term = np.argsort(code, kind="stable")  # term-major: the postings of a term lie together
+        peer, held = g[by_term], value[by_term]
+        ends = np.cumsum(np.bincount(code, minlength=1))
+        by_row = np.lexsort((value, g))
+        row_at = np.searchsorted(g[by_row], np.arange(len(z) + 1))
+        apart = np.abs(z[first:last, None] - z[None, :])
+        own, other = np.empty_like(apart), np.empty_like(apart)
+        for r in range(len(z)):  # sums of |p - z_j| - |z_r - z_j| over the terms of row r
+            mine = value[by_row[row_at[r]:row_at[r + 1]]]
+            if first <= r < last:
+                own[r - first] = _distances(mine, z) - len(mine) * apart[r - first]
+            other[:, r] = _distances(mine, z[first:last]) - len(mine) * apart[:, r]
+        sums = own + other + (apart * int(v) if block == 0 else 0)
+        for r in range(first, last):
+            mine = by_row[row_at[r]:row_at[r + 1]]
+            n = np.diff(np.append(0, ends))[code[mine]]
+            posting = np.repeat(ends[code[mine]] - np.cumsum(n), n) + np.arange(n.sum())
+            j, q, x = peer[posting], held[posting], np.repeat(value[mine], n)
+            np.add.at(sums[r - first], j, np.abs(x - q) - np.abs(x - z[j]) - np.abs(q - z[r]) + np.abs(z[r] - z[j]))
+        return pd.DataFrame({"lang": lang, "g": np.arange(first, last), "sums": list(sums)})
+    return run
 
 
 def _distances(ordered: np.ndarray, points: np.ndarray) -> np.ndarray:

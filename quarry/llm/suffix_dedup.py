@@ -382,7 +382,7 @@ def _removed(schema: T.StructType, keep: bool):
                 digest.append(hashlib.sha256(left).hexdigest())
                 spans.append([{"start": x, "end": y} for x, y in gone])
                 rest.append(left)
-            whole = pa.array([None if p is None else t for t, p in zip(texts, raw.is_valid().to_pylist())], pa.binary())
+            whole = pa.array([t if valid else None for t, valid in zip(texts, raw.is_valid().to_pylist())], pa.binary())
             new = {"n_bytes": list(map(len, texts)), "n_removed": n_removed, "n_spans": n_spans, "kept_sha256": digest,
                    "spans": spans} | ({"kept": rest} if keep else {})
             cols = [whole, *b.columns[2:]] + [pa.array(v, type=arrow.field(k).type) for k, v in new.items()]
