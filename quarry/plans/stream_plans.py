@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import Tables
-from ..streaming import online, stats
+from ..streaming import online, stats, windows
 from .catalog import register
 
 # The two online models (step sizes) compared on one stream.
@@ -98,3 +98,42 @@ def stream_model_monitor(spark, sf_dir):
                                           ONLINE_MODELS)
     return metrics.select("model_id", "batch_id", "n", F.round("mse", 6).alias("mse"),
                           F.round("rmse", 6).alias("rmse"))
+
+
+#: Fixed values of the windowed replay: tumbling windows and how long rows may come late.
+WINDOW_DAYS, DELAY_DAYS = 30, 20
+
+
+def shipped_purchases(t):
+    """(user, product, price, ts, arrival): lines by their ship time; a line
+    arrives with its ship year, a returned one with the year after."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate", "l_returnflag")
+    late = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    return (li.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("o_custkey").alias("user"), F.col("l_partkey").cast("string").alias("product"),
+                    F.col("l_extendedprice").alias("price"), F.col("l_shipdate").alias("ts"),
+                    (F.year("l_shipdate") + late).alias("arrival")))
+
+
+@register("stream_window_stats", f"""
+WITH p AS (SELECT o_custkey AS "user", CAST(l_partkey AS VARCHAR) AS product, CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
+                  l_shipdate AS ts, year(l_shipdate) + CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END AS arrival,
+                  epoch(l_shipdate) - epoch(l_shipdate) % ({WINDOW_DAYS} * 86400) AS w
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+seen AS (SELECT arrival, max(max(epoch(ts))) OVER (ORDER BY arrival) - {DELAY_DAYS} * 86400 AS mark FROM p GROUP BY arrival),
+marks AS (SELECT arrival, lag(mark) OVER (ORDER BY arrival) AS before FROM seen),
+kept AS (SELECT p.* FROM p JOIN marks m ON m.arrival = p.arrival
+         WHERE (m.before IS NULL OR w + {WINDOW_DAYS} * 86400 > m.before)
+           AND w + {WINDOW_DAYS} * 86400 <= (SELECT max(mark) FROM seen)),
+totals AS (SELECT w, count(*) AS n_purchases, count(DISTINCT "user") AS n_users, CAST(sum(price) AS DOUBLE) AS revenue
+           FROM kept GROUP BY w),
+top AS (SELECT w, product, c FROM (SELECT w, product, count(*) AS c,
+               row_number() OVER (PARTITION BY w ORDER BY count(*) DESC, product) AS r FROM kept GROUP BY w, product) WHERE r = 1)
+SELECT CAST(t.w AS BIGINT) AS window_start, t.n_purchases, t.n_users, t.revenue, top.product AS top_product, top.c AS top_product_count
+FROM totals t JOIN top ON top.w = t.w
+""")
+def stream_window_stats(spark, sf_dir):
+    out = windows.windowed_stats(spark, shipped_purchases(Tables(spark, sf_dir)), "arrival", f"{WINDOW_DAYS} days",
+                                 f"{DELAY_DAYS} days")
+    return out.select(F.unix_timestamp("window_start").alias("window_start"), "n_purchases", "n_users", "revenue",
+                      "top_product", "top_product_count")

@@ -11,30 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import linear
-from .replay import new_run_dir, read_stream, write_in_order
-
+from .replay import key_folders, new_run_dir, only, read_stream, run_to_end, write_by_key
+from .sinks import create_table, store_batch, stored
 
 _WEIGHTS = "model_id string, weights array<double>, batch_id long"
 _METRICS = "model_id string, n long, mse double, rmse double, batch_id long"
 
 
-def _store(rows: DataFrame, path: str) -> None:
-    """Write rows under their batch: a batch that comes again replaces its own rows."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-
-
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
-
-
 def _load_weights(spark, path: str, models: dict[str, float], d: int) -> tuple[dict, int]:
     """Latest stored weights per model (model-sized) and the last batch id;
     zero weights and -1 while the table is empty."""
     w = {m: [0.0] * d for m in models}
     last = -1
-    df = _stored(spark, path, _WEIGHTS)
+    df = stored(spark, path, _WEIGHTS)
     for r in df.groupBy("model_id").agg(F.max_by(F.struct("batch_id", "weights"), "batch_id").alias("s")).collect():
         w[r["model_id"]] = list(r["s"]["weights"])
         last = max(last, r["s"]["batch_id"])
@@ -47,19 +39,25 @@ def online_regression(spark: SparkSession, points: DataFrame, order_key: str, nu
     """``points`` has (order_key, features array<double>, label). Returns
     (weights per model and batch, metrics per model and batch)."""
     run = run_dir or new_run_dir(spark, "online-regression")
-    src = f"{run}/source"
-    write_in_order(points.select(order_key, "features", "label"), order_key, src)
-    return resume(spark, run, num_features, models, trigger)
+    points = points.select("features", "label", order_key)
+    write_by_key(points, order_key, f"{run}/source")
+    return resume(spark, run, points.schema, num_features, models, trigger)
 
 
-def resume(spark: SparkSession, run: str, num_features: int, models: dict[str, float],
+def resume(spark: SparkSession, run: str, schema: StructType, num_features: int, models: dict[str, float],
            trigger: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Go on with the source, checkpoint and tables of folder ``run``, e.g. after a failed batch."""
+    """Go on with the source, checkpoints and tables of folder ``run``, e.g.
+    after a failed batch; ``schema`` ends with the order key.
+
+    Each key value is one batch, numbered in key order: the query runs once
+    per value over that value's folder, whatever its number of files. An empty
+    source gives empty tables.
+    """
     src = f"{run}/source"
-    schema = spark.read.parquet(src).schema
+    key = schema.names[-1]
     wpath, mpath = f"{run}/weights", f"{run}/metrics"
-    for path, fields in ((wpath, _WEIGHTS), (mpath, _METRICS)):   # empty tables at first, so that every read finds one
-        spark.createDataFrame([], fields).write.mode("append").partitionBy("batch_id").parquet(path)
+    create_table(spark, wpath, _WEIGHTS)
+    create_table(spark, mpath, _METRICS)
 
     def per_batch(batch: DataFrame, batch_id: int):
         weights, last = _load_weights(spark, wpath, models, num_features)
@@ -82,15 +80,15 @@ def resume(spark: SparkSession, run: str, num_features: int, models: dict[str, f
                 fit = linear.gd_fit(data, loss="squared", step=step, iters=1, reg="none",
                                     intercept=False, w0=weights[m], persist=False)
                 new_w.append((m, batch_id, fit.weights))
-            _store(spark.createDataFrame(mrows, "model_id string, batch_id long, n long, mse double")
-                   .withColumn("rmse", F.sqrt("mse")), mpath)
+            store_batch(spark.createDataFrame(mrows, "model_id string, batch_id long, n long, mse double")
+                        .withColumn("rmse", F.sqrt("mse")), mpath)
             # last: a batch counts as done once its weights are there
-            _store(spark.createDataFrame(new_w, "model_id string, batch_id long, weights array<double>"), wpath)
+            store_batch(spark.createDataFrame(new_w, "model_id string, batch_id long, weights array<double>"), wpath)
         finally:
             data.unpersist()
 
-    q = (read_stream(spark, src, schema).writeStream.foreachBatch(per_batch)
-         .option("checkpointLocation", f"{run}/checkpoint").trigger(**(trigger or {"availableNow": True}))
-         .start())
-    q.awaitTermination()
-    return _stored(spark, wpath, _WEIGHTS), _stored(spark, mpath, _METRICS)
+    for number, folder in enumerate(key_folders(spark, src, schema, key)):
+        batch = read_stream(spark, only([folder]), schema).writeStream.foreachBatch(
+            lambda rows, _, number=number: per_batch(rows, number))
+        run_to_end(batch.option("checkpointLocation", f"{run}/checkpoint/{number}"), trigger)
+    return stored(spark, wpath, _WEIGHTS), stored(spark, mpath, _METRICS)

@@ -1,5 +1,5 @@
 """Replay sources: a table written as files that a streaming file source
-reads batch by batch (any other streaming source plugs in the same way).
+reads (any other streaming source plugs in the same way).
 
 Files go under the shared checkpoint folder (``spark.checkpoint.dir``), never a
 machine-local path.
@@ -7,56 +7,84 @@ machine-local path.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..session import scratch_path
 
+#: Column that names the folders of a keyed replay.
+_FOLDER = "replay_key"
+
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
-    import uuid
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def write_by_key(df: DataFrame, key: str, path: str, one_file_per_key: bool = True) -> str:
-    """Files in one directory per key value (``key=value``).
+def write_source(df: DataFrame, path: str) -> str:
+    """``df`` as files of any cut, for consumers whose result does not depend on batch boundaries."""
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def write_by_key(df: DataFrame, key: str, path: str) -> str:
+    """One folder per value of ``key``, written by as many tasks as its rows need; the files keep the column.
 
-    ``one_file_per_key`` writes each key value as a single file, so a
-    ``maxFilesPerTrigger=1`` stream sees every key value in exactly one
-    batch, whatever order the files are picked in. That routes a key's rows
-    through one task, so it is meant for replaying a bounded period. Without
-    it, every task writes its own rows for each key (no hot-key task), for
-    consumers whose result does not depend on batch boundaries.
+    Rows are dealt by key with the rebalance hint: adaptive execution splits
+    the rows of a large key into partitions of the advisory size and joins
+    small keys, so no task holds a whole large key and small keys stay few files.
     """
-    out = df.repartition(F.col(key)) if one_file_per_key else df
-    out.write.mode("overwrite").partitionBy(key).parquet(path)
+    marked = df.withColumn(_FOLDER, F.col(key).cast("string"))
+    marked.hint("rebalance", F.col(_FOLDER)).write.mode("overwrite").partitionBy(_FOLDER).parquet(path)
     return path
 
 
-def write_in_order(df: DataFrame, key: str, path: str) -> list:
-    """One file per key value, written in ascending key order so that file
-    modification times follow the key; used where batch order changes the
-    result (online models). Returns the keys.
+def key_folders(spark: SparkSession, path: str, schema: StructType, key: str) -> list[str]:
+    """Folders of ``write_by_key`` in ascending order of the key, null first:
+    one name per key value on the driver, no data rows."""
+    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    rows = spark.read.schema(StructType([*schema.fields, StructField(_FOLDER, StringType())])).parquet(path)
+    value = F.col(_FOLDER).cast(schema[key].dataType)
+    names = rows.select(value.alias("value"), folder.alias("folder")).distinct()
+    return [r["folder"] for r in names.orderBy(F.col("value").asc_nulls_first(), "folder").collect()]
 
-    The input is scanned once into a staging copy partitioned by key; each
-    ordered copy then reads only its own partition (partition pruning), so
-    the total I/O is twice the data, not once per key.
-    """
-    staging = f"{path}-staging"
-    df.write.mode("overwrite").partitionBy(key).parquet(staging)
-    staged = df.sparkSession.read.parquet(staging)
-    keys = [r[key] for r in staged.select(key).distinct().orderBy(key).collect()]   # key values only
-    for k in keys:
-        (staged.filter(F.col(key) == k).drop(key).coalesce(1).write.mode("append")
-         .parquet(f"{path}/{key}={k}"))
-    return keys
 
+def only(folders: list[str]) -> str:
+    """A pattern of these folders, which lie in one folder. A query that goes
+    on with another pattern keeps its checkpoint: files are known by their own paths."""
+    parent = folders[0].rsplit("/", 1)[0]
+    return f"{parent}/{{{','.join(f.rsplit('/', 1)[1] for f in folders)}}}"
 
-def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+
+def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet file stream of a folder, or of several by a pattern."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def read_text_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """Line stream (``value``) from text files, like a socket text stream."""
     return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+
+
+def run_to_end(writer: DataStreamWriter, trigger: dict | None = None) -> StreamingQuery:
+    """Start a query, wait until it has handled all that its source holds, and stop it.
+
+    Without ``trigger`` it runs as ``availableNow``. A ``processingTime`` trigger, which by
+    itself runs on for ever, is stopped once nothing is left; a batch under way is finished first.
+    """
+    trigger = trigger or {"availableNow": True}
+    query = writer.trigger(**trigger).start()
+    if "processingTime" in trigger:
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query.awaitTermination()
+    return query

@@ -6,55 +6,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import profile
-from .replay import new_run_dir, read_stream, write_by_key
-
-
-def _start(writer, trigger: dict | None, spark: SparkSession | None = None,
-           state_partitions: int | None = None):
-    """Start a query. For stateful queries, ``state_partitions`` fixes the
-    number of state-store partitions (taken from the session when the query
-    first starts and kept in its checkpoint); the session setting is
-    restored right after the start."""
-    t = trigger or {"availableNow": True}
-    if spark is None or state_partitions is None:
-        return writer.trigger(**t).start()
+from .replay import key_folders, new_run_dir, only, read_stream, run_to_end, write_by_key, write_source
+from .sinks import create_table, store_batch, stored
+
+_DAYS = ("day string, n_purchases long, n_users long, revenue double, top_product string, top_product_count long, "
+         "batch_time string, batch_id long")
+
+
+def _run_stateful(writer, trigger: dict | None, spark: SparkSession) -> None:
+    """Run a stateful query to its end. The number of state-store partitions
+    is taken from the session when the query first starts and kept in its
+    checkpoint; the session setting is restored right after."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
     try:
-        return writer.trigger(**t).start()
+        run_to_end(writer, trigger)
     finally:
         spark.conf.set(key, old)
 
 
 def batch_stats(spark: SparkSession, purchases: DataFrame, trigger: dict | None = None,
-                run_dir: str | None = None, files_per_trigger: int = 7) -> DataFrame:
-    """Replay purchases one day per micro-batch and compute, in every batch,
+                run_dir: str | None = None, days_per_batch: int = 7) -> DataFrame:
+    """Replay purchases in batches of whole days and compute, in every batch,
     purchases, distinct users, revenue and the most popular product
     (``foreachBatch`` reusing the batch operators).
 
-    Each day is a single file, so a day never spans two batches; a batch may
-    hold several whole days (``files_per_trigger``) and its statistics are
-    grouped by day. Each batch's rows are written to the sink under its
-    ``batch_id`` with a partition overwrite, so a batch replayed after a
-    failure replaces, never duplicates. Returns the sink as a batch DataFrame.
+    A day is a folder of as many files as its rows need, and a batch is one
+    run of the query over the folders of ``days_per_batch`` days in order, so a day
+    never spans two batches and no task holds a whole day. A batch's
+    statistics are grouped by day; one without rows gives one row with a null
+    day and product, counts 0 and revenue 0. Each batch's rows are written under
+    its ``batch_id`` with a partition overwrite, so a batch replayed after a
+    failure replaces, never duplicates. Returns the sink as a batch DataFrame;
+    an empty stream gives an empty one.
     """
     run = run_dir or new_run_dir(spark, "batch-stats")
-    src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
-                       "day", f"{run}/source")
-    schema = spark.read.parquet(src).schema
+    daily = purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts")
+    daily = daily.select(*[c for c in daily.columns if c != "day"], "day")
+    src = write_by_key(daily, "day", f"{run}/source")
     sink = f"{run}/sink"
+    create_table(spark, sink, _DAYS)
 
     def per_batch(batch: DataFrame, batch_id: int):
-        stats = (profile.purchase_stats_by(batch, "day").withColumn("batch_id", F.lit(batch_id))
-                 .withColumn("batch_time", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")))
-        (stats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(sink))
+        store_batch(day_rows(batch).withColumn("batch_id", F.lit(batch_id)), sink)
+
+    folders = key_folders(spark, src, daily.schema, "day")
+    for i in range(0, len(folders), days_per_batch):
+        stream = read_stream(spark, only(folders[i:i + days_per_batch]), daily.schema)
+        run_to_end(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", f"{run}/checkpoint"), trigger)
+    return stored(spark, sink, _DAYS)
 
-    q = _start(read_stream(spark, src, schema, files_per_trigger).writeStream.foreachBatch(per_batch)
-               .option("checkpointLocation", f"{run}/checkpoint"), trigger)
-    q.awaitTermination()
-    return spark.read.parquet(sink)
+
+def day_rows(batch: DataFrame) -> DataFrame:
+    """Statistics per day of one batch with its time; one row of zeros if the batch has no rows."""
+    spark = batch.sparkSession
+    stats = profile.purchase_stats_by(batch, "day").withColumn("day", F.col("day").cast("string"))
+    if batch.isEmpty():
+        stats = spark.createDataFrame([(None, 0, 0, 0.0, None, None)], stats.schema)
+    return stats.withColumn("batch_time", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
 
 
 def _files_per_batch(spark: SparkSession, path: str, batches: int) -> int:
@@ -72,23 +82,24 @@ def user_state(spark: SparkSession, purchases: DataFrame, trigger: dict | None =
     The final state does not depend on how the days are cut into batches.
     """
     run = run_dir or new_run_dir(spark, "user-state")
-    src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
-                       "day", f"{run}/source", one_file_per_key=False)
-    schema = spark.read.parquet(src).schema
+    src = write_source(purchases.select("user", "price"), f"{run}/source")
+    schema = purchases.select("user", "price").schema
     sink = f"{run}/sink"
+    create_table(spark, sink, fields := f"{_key(purchases)}, n_purchases long, revenue decimal(28,2), batch_id long")
     running = (read_stream(spark, src, schema, _files_per_batch(spark, src, batches))
                .groupBy("user").agg(F.count(F.lit(1)).alias("n_purchases"),
                                     F.sum(F.col("price").cast("decimal(18,2)")).alias("revenue")))
 
     def per_batch(batch: DataFrame, batch_id: int):
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
+        store_batch(batch.withColumn("batch_id", F.lit(batch_id)), sink)
+
+    _run_stateful(running.writeStream.outputMode("update").foreachBatch(per_batch)
+                  .option("checkpointLocation", f"{run}/checkpoint"), trigger, spark)
+    return latest_per_key(stored(spark, sink, fields), "user", "batch_id")
 
-    q = _start(running.writeStream.outputMode("update").foreachBatch(per_batch)
-               .option("checkpointLocation", f"{run}/checkpoint"), trigger,
-               spark, spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
-    return latest_per_key(spark.read.parquet(sink), "user", "batch_id")
+
+def _key(purchases: DataFrame) -> str:
+    return f"user {purchases.schema['user'].dataType.simpleString()}"
 
 
 def latest_per_key(updates: DataFrame, key: str, order: str) -> DataFrame:
@@ -109,10 +120,10 @@ def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict |
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     run = run_dir or new_run_dir(spark, "user-state-custom")
-    src = write_by_key(purchases.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).drop("ts"),
-                       "day", f"{run}/source", one_file_per_key=False)
-    schema = spark.read.parquet(src).schema
+    src = write_source(purchases.select("user", "price"), f"{run}/source")
+    schema = purchases.select("user", "price").schema
     sink = f"{run}/sink"
+    create_table(spark, sink, fields := "user long, n_purchases long, revenue_cents long, batch_id long")
 
     def update(key, batches, state):
         n, cents = (state.get if state.exists else (0, 0))
@@ -128,12 +139,9 @@ def user_state_custom(spark: SparkSession, purchases: DataFrame, trigger: dict |
                    "n long, cents long", "update", GroupStateTimeout.NoTimeout))
 
     def per_batch(batch: DataFrame, batch_id: int):
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
-
-    q = _start(running.writeStream.outputMode("update").foreachBatch(per_batch)
-               .option("checkpointLocation", f"{run}/checkpoint"), trigger,
-               spark, spark.sparkContext.defaultParallelism)
-    q.awaitTermination()
-    out = latest_per_key(spark.read.parquet(sink), "user", "batch_id")
+        store_batch(batch.withColumn("batch_id", F.lit(batch_id)), sink)
+
+    _run_stateful(running.writeStream.outputMode("update").foreachBatch(per_batch)
+                  .option("checkpointLocation", f"{run}/checkpoint"), trigger, spark)
+    out = latest_per_key(stored(spark, sink, fields), "user", "batch_id")
     return out.select("user", "n_purchases", (F.col("revenue_cents") / 100).cast("decimal(18,2)").alias("revenue"))

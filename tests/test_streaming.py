@@ -79,25 +79,26 @@ def test_custom_state_equals_builtin_state(spark):
 
 def test_online_batch_that_fails_between_its_writes(spark, monkeypatch):
     from pyspark.errors import StreamingQueryException
-    from quarry.streaming.replay import new_run_dir, write_in_order
+    from quarry.streaming.replay import new_run_dir, write_by_key
     pts = spark.range(60).select((F.col("id") % 3).cast("int").alias("step"),
                                  F.array(F.col("id") / 60.0, F.lit(1.0)).alias("features"),
                                  (F.col("id") / 30.0).alias("label"))
     models = {"m": 0.1}
     want_w, want_m = online.online_regression(spark, pts, "step", 2, models)
     run = new_run_dir(spark, "online-broken")
-    write_in_order(pts, "step", f"{run}/source")
-    store, calls = online._store, []
+    pts = pts.select("features", "label", "step")
+    write_by_key(pts, "step", f"{run}/source")
+    store, calls = online.store_batch, []
 
     def failing(rows, path):
         calls.append(path)
         if len(calls) == 4:   # second batch: its metrics are written, its weights are not
             raise OSError("lost")
         store(rows, path)
-    monkeypatch.setattr(online, "_store", failing)
+    monkeypatch.setattr(online, "store_batch", failing)
     with pytest.raises(StreamingQueryException):
-        online.resume(spark, run, 2, models)
-    got_w, got_m = online.resume(spark, run, 2, models)
+        online.resume(spark, run, pts.schema, 2, models)
+    got_w, got_m = online.resume(spark, run, pts.schema, 2, models)
 
     def rows(df, value):   # sums of floats depend on the order of the tasks in their last digits
         return sorted((r["model_id"], r["batch_id"], [round(x, 9) for x in (r[value] if value == "weights" else [r[value]])])
