@@ -114,8 +114,3 @@ def centre(df: DataFrame, vec: str, out: str) -> DataFrame:
 
 def l2_normalise(df: DataFrame, vec: str, out: str) -> DataFrame:
     return df.withColumn(out, V.unit(V.as_doubles(F.col(vec))))
-
-
-def explode_vector(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """Long form (key, dim, value)."""
-    return df.select(key, F.posexplode(vec).alias("dim", "value"))

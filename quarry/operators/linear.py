@@ -1,22 +1,24 @@
 """Linear models by full-batch gradient descent (logistic, hinge, squared
 loss) with none / L1 / L2 updaters and step / sqrt(iteration) decay.
 
-Each iteration is one distributed aggregate: the current weights are a
-driver-side list of d literals inlined into the expression, every task sums
-``err * x_j`` for its rows (codegen'd, partial + final), and the driver
-applies the updater to d numbers. Plans stay flat across iterations because
-nothing depends on the previous iteration's DataFrame.
+The descent itself works on packed blocks (``matrix_gd``); scores are column
+expressions over the fitted weights.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import vectors as V
+from . import matrix_gd
+
+#: Wider models score by one array product instead of a term a feature.
+WIDE = 32
+
 
 @dataclass
 class LinearModel:
@@ -46,84 +48,22 @@ class LinearModel:
 
 def margin_expr(w: list[float], features: Column, intercept: bool) -> Column:
     d = len(w) - (1 if intercept else 0)
+    if d > WIDE:
+        known = F.array(*[F.lit(float(v)) for v in w[:d]])
+        dot = V.dot(F.slice(features, 1, d), known)
+        return F.when(F.size(features) >= d, dot + F.lit(float(w[d])) if intercept else dot)
     m = F.lit(float(w[d])) if intercept else F.lit(0.0)
     for j in range(d):
         m = m + F.lit(float(w[j])) * features.getItem(j)
     return m
 
 
-def error_factor(loss: str, margin: Column, label: Column) -> Column:
-    """d loss / d margin for one row (the gradient is this times x)."""
-    if loss == "logistic":
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - label
-    if loss == "hinge":
-        ys = F.lit(2.0) * label - F.lit(1.0)
-        return F.when(ys * margin < 1.0, -ys).otherwise(F.lit(0.0))
-    if loss == "squared":
-        return margin - label
-    raise ValueError(loss)
-
-
-def update(w: list[float], g: list[float], step: float, i: int, reg: str, lam: float) -> list[float]:
-    """Updater for iteration i (1-based): eta = step / sqrt(i)."""
-    eta = step / math.sqrt(i)
-    if reg == "none":
-        return [wj - eta * gj for wj, gj in zip(w, g)]
-    if reg == "l2":
-        return [wj * (1.0 - eta * lam) - eta * gj for wj, gj in zip(w, g)]
-    if reg == "l1":
-        out = []
-        for wj, gj in zip(w, g):
-            v = wj - eta * gj
-            out.append(math.copysign(max(0.0, abs(v) - eta * lam), v) if v != 0 else 0.0)
-        return out
-    raise ValueError(reg)
-
-
-def _mean_gradient(data: DataFrame, w: list[float], d: int, loss: str, intercept: bool,
-                   features: str, label: str) -> list[float]:
-    x = F.col(features)
-    err = error_factor(loss, margin_expr(w, x, intercept), F.col(label))
-    # one aggregate at any width; a row whose feature is null does not count for that feature
-    aggs = [F.avg(err * x.getItem(j)).alias(f"g{j}") for j in range(d)]
-    if intercept:
-        aggs.append(F.avg(err).alias(f"g{d}"))
-    row = data.agg(*aggs).first()
-    return [float(row[f"g{j}"]) for j in range(d + (1 if intercept else 0))]
-
-
 def gd_fit(df: DataFrame, features: str = "features", label: str = "label", loss: str = "logistic",
            step: float = 1.0, iters: int = 10, reg: str = "none", reg_param: float = 0.0,
-           intercept: bool = False, w0: list[float] | None = None, persist: bool = True) -> LinearModel:
-    """Full-batch gradient descent; ``features`` is ``array<double>``.
-
-    The input is persisted (memory and disk) for the iterations and released
-    afterwards; a lost executor recomputes its blocks from the short lineage.
-    """
-    data = df.select(F.col(features).cast("array<double>").alias(features),
-                     F.col(label).cast("double").alias(label))
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = data.select(F.size(features).alias("d")).first()
-        if first is None:
-            d = len(w0) - (1 if intercept else 0) if w0 else 0
-        else:
-            d = int(first["d"])
-        # zero start; the intercept weight starts at 1.0 because the bias
-        # column is appended to the initial weights as well (library convention)
-        w = list(w0) if w0 is not None else [0.0] * d + ([1.0] if intercept else [])
-        hist = [list(w)]
-        if first is None:
-            return LinearModel(w, intercept, loss, hist)
-        for i in range(1, iters + 1):
-            g = _mean_gradient(data, w, d, loss, intercept, features, label)
-            w = update(w, g, step, i, reg, reg_param)
-            hist.append(list(w))
-        return LinearModel(w, intercept, loss, hist)
-    finally:
-        if persist:
-            data.unpersist()
+           intercept: bool = False, w0: list[float] | None = None) -> LinearModel:
+    """One model; see ``gd_fit_many``."""
+    config = dict(loss=loss, step=step, iters=iters, reg=reg, reg_param=reg_param, intercept=intercept)
+    return gd_fit_many(df, [config], features, label, [w0])[0]
 
 
 def weights_frame(spark, model: LinearModel, name: str) -> DataFrame:
@@ -134,43 +74,26 @@ def weights_frame(spark, model: LinearModel, name: str) -> DataFrame:
 
 
 def gd_fit_many(df: DataFrame, configs: list[dict], features: str = "features", label: str = "label",
-                persist: bool = True) -> list[LinearModel]:
-    """Fit several gradient-descent models over the same rows at once.
-
-    Every iteration is one aggregate that computes the mean gradient of all
-    still-running models (M x d expressions), so the data is scanned once per
-    iteration for the whole grid instead of once per model. Each config takes
-    the ``gd_fit`` keywords (loss, step, iters, reg, reg_param, intercept).
-    Results equal separate ``gd_fit`` calls.
+                starts: list[list[float] | None] | None = None) -> list[LinearModel]:
+    """Full-batch gradient descent of several models over the same rows;
+    ``features`` is an array of numbers.
+
+    Each config takes loss, step, iters, reg, reg_param and intercept. The
+    rows are packed once and read once per iteration for all models (once in
+    all for the squared loss). Rows with a null label or feature don't count;
+    of an empty table the start weights come back.
     """
-    data = df.select(F.col(features).cast("array<double>").alias(features),
-                     F.col(label).cast("double").alias(label))
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = data.select(F.size(features).alias("d")).first()
-        d = int(first["d"]) if first is not None else 0
-        cfgs = [dict(dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False), **c)
-                for c in configs]
-        ws = [[0.0] * d + ([1.0] if c["intercept"] else []) for c in cfgs]
-        hists = [[list(w)] for w in ws]
-        x = F.col(features)
-        for i in range(1, max(c["iters"] for c in cfgs) + 1 if first is not None else 1):
-            live = [m for m, c in enumerate(cfgs) if i <= c["iters"]]
-            aggs = []
-            for m in live:
-                c = cfgs[m]
-                err = error_factor(c["loss"], margin_expr(ws[m], x, c["intercept"]), F.col(label))
-                aggs += [F.avg(err * x.getItem(j)).alias(f"g{m}_{j}") for j in range(d)]
-                if c["intercept"]:
-                    aggs.append(F.avg(err).alias(f"g{m}_{d}"))
-            row = data.agg(*aggs).first()
-            for m in live:
-                c = cfgs[m]
-                g = [float(row[f"g{m}_{j}"]) for j in range(len(ws[m]))]
-                ws[m] = update(ws[m], g, c["step"], i, c["reg"], c["reg_param"])
-                hists[m].append(list(ws[m]))
-        return [LinearModel(w, c["intercept"], c["loss"], h) for w, c, h in zip(ws, cfgs, hists)]
-    finally:
-        if persist:
-            data.unpersist()
+    cfgs = [dict(dict(loss="logistic", step=1.0, iters=10, reg="none", reg_param=0.0, intercept=False), **c)
+            for c in configs]
+    starts = starts or [None] * len(cfgs)
+    with matrix_gd.Blocks(df, features, label) as blocks:
+        d = blocks.width
+        if blocks.frame is None:   # no row says how many features there are
+            d = max((len(w) - c["intercept"] for w, c in zip(starts, cfgs) if w is not None), default=0)
+        # zero start; the intercept weight starts at 1.0 because the bias
+        # column is appended to the initial weights as well (library convention)
+        begun = [[0.0] * d + [1.0] * c["intercept"] if w is None else list(w) for w, c in zip(starts, cfgs)]
+        bias = [np.array(w if c["intercept"] else [*w, 0.0], float) for w, c in zip(begun, cfgs)]
+        paths = matrix_gd.descend(blocks, cfgs, bias)
+    kept = [[[float(v) for v in (w if c["intercept"] else w[:-1])] for w in path] for path, c in zip(paths, cfgs)]
+    return [LinearModel(path[-1], c["intercept"], c["loss"], path) for path, c in zip(kept, cfgs)]

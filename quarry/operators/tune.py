@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,27 +44,3 @@ def group_mean_predictions(df: DataFrame, group: str, label: str, transform: str
     m = t.groupBy(group).agg(F.avg("_y").alias("_m"))
     back = {"none": F.col("_m"), "log": F.exp(F.col("_m")), "sqrt": F.col("_m") * F.col("_m")}[transform]
     return t.join(m, group).select("label", back.alias("prediction"))
-
-
-def sweep(params: Iterable, fit_and_score: Callable[[object], dict], spark, schema: str) -> DataFrame:
-    """Parameter sweep: one fit per parameter on persisted inputs, the
-    (param, metrics) rows gathered into one small DataFrame."""
-    rows = [fit_and_score(p) for p in params]
-    return spark.createDataFrame(rows, schema)
-
-
-def gd_sweep(train: DataFrame, test: DataFrame, grid: list[tuple[str, object, dict]],
-             score: Callable[[object, DataFrame], float]) -> list[tuple]:
-    """Fit every grid entry (name, value, settings) on the persisted training
-    split in one joint pass per iteration (``gd_fit_many``), then score each
-    model on both splits."""
-    from . import linear
-    train = train.persist()
-    test = test.persist()
-    try:
-        models = linear.gd_fit_many(train, [cfg for _, _, cfg in grid], persist=False)
-        return [(name, float(value), float(score(m, train)), float(score(m, test)))
-                for (name, value, _), m in zip(grid, models)]
-    finally:
-        train.unpersist()
-        test.unpersist()

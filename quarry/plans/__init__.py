@@ -15,3 +15,4 @@ from . import ml_plans  # noqa: F401
 from . import check_plans  # noqa: F401
 from . import study_plans  # noqa: F401
 from . import stream_plans  # noqa: F401
+from . import solver_plans  # noqa: F401

@@ -302,7 +302,7 @@ def logistic_sweep(spark, sf_dir):
     train, test = tune.hash_split(z, "doc_id", 0.4)
     train, test = train.persist(), test.persist()
     try:
-        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LOGISTIC_GRID], persist=False)
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LOGISTIC_GRID])
 
         def aucs(df):   # every model's hard-label AUC from one aggregate
             preds = df.select("label", *[m.predict(F.col("features")).alias(f"p{i}") for i, m in enumerate(models)])
@@ -338,7 +338,7 @@ def linear_sweep(spark, sf_dir):
     train, test = tune.hash_split(hd, "_key", 0.3)
     train, test = train.persist(), test.persist()
     try:
-        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LINEAR_GRID], persist=False)
+        models = linear.gd_fit_many(train, [cfg for _, _, cfg in LINEAR_GRID])
 
         def rmsles(df):   # every model's error from one aggregate
             y = F.log1p(F.col("label"))

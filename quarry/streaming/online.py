@@ -75,11 +75,9 @@ def resume(spark: SparkSession, run: str, schema: StructType, num_features: int,
                 aggs += [F.count(F.col(m)).alias(f"{m}__n"), F.avg(F.col(m) * F.col(m)).alias(f"{m}__mse")]
             row = scored.agg(*aggs).first()
             mrows = [(m, batch_id, int(row[f"{m}__n"]), row[f"{m}__mse"]) for m in models]
-            new_w = []
-            for m, step in models.items():
-                fit = linear.gd_fit(data, loss="squared", step=step, iters=1, reg="none",
-                                    intercept=False, w0=weights[m], persist=False)
-                new_w.append((m, batch_id, fit.weights))
+            fits = linear.gd_fit_many(data, [dict(loss="squared", step=step, iters=1) for step in models.values()],
+                                      starts=[weights[m] for m in models])
+            new_w = [(m, batch_id, fit.weights) for m, fit in zip(models, fits)]
             store_batch(spark.createDataFrame(mrows, "model_id string, batch_id long, n long, mse double")
                         .withColumn("rmse", F.sqrt("mse")), mpath)
             # last: a batch counts as done once its weights are there
