@@ -16,3 +16,4 @@ from . import check_plans  # noqa: F401
 from . import study_plans  # noqa: F401
 from . import stream_plans  # noqa: F401
 from . import solver_plans  # noqa: F401
+from . import tree_plans  # noqa: F401
