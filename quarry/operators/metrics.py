@@ -85,14 +85,15 @@ def weighted_f_measure(df: DataFrame, pred: str = "prediction", label: str = "la
 
 
 def average_precision(truth: DataFrame, ranked: DataFrame, user: str, item: str, rank: str,
-                      k: int | None) -> DataFrame:
+                      k: int | None, users: DataFrame | None = None) -> DataFrame:
     """Per-user average precision of a ranked list against the truth set.
 
     ``ranked`` is (user, item, rank) with rank starting at 1; ``truth`` is
     (user, item). Hits are truth rows whose item has rank <= k; the j-th hit
     at rank r adds j / r; the sum is divided by min(|truth|, k). Users with
     truth but no hits score 0. Only truth rows are touched, never the full
-    users x items list. ``k=None`` means the whole list.
+    users x items list. ``k=None`` means the whole list. With ``users`` (a
+    column ``user``) there is a row for each of them too: one without truth scores 1.0.
     """
     from .indexing import rank_within_group
     # a ranked list is either per user (user, item, rank) or global (item, rank)
@@ -103,8 +104,11 @@ def average_precision(truth: DataFrame, ranked: DataFrame, user: str, item: str,
     score = hits.groupBy(user).agg(F.sum(F.col("_j") / F.col(rank)).alias("_s"))
     sizes = truth.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
     denom = F.col("_n") if k is None else F.least(F.col("_n"), F.lit(k))
-    return (sizes.join(score, user, "left")
-            .select(user, (F.coalesce(F.col("_s"), F.lit(0.0)) / denom).alias("ap")))
+    known = (sizes.join(score, user, "left")
+             .select(user, (F.coalesce(F.col("_s"), F.lit(0.0)) / denom).alias("ap")))
+    if users is None:
+        return known
+    return users.select(user).distinct().join(known, user, "full").select(user, F.coalesce("ap", F.lit(1.0)).alias("ap"))
 
 
 def hard_label_roc_many(df: DataFrame, pred_cols: list[str], label: str = "label") -> list[float]:

@@ -76,12 +76,6 @@ for _name in GD:
     register(_name, _gd_oracle(_name))(_gd_plan(_name))
 
 
-def _scored(data, name):
-    cfg = GD[name]
-    model = linear.gd_fit(data, **cfg)
-    return data.select(model.predict(F.col("features")).alias("prediction"), "label")
-
-
 @register("classifier_metrics", "WITH " + S.PAGES_SQL + ",\n"
           + S.gd_ctes("pc", 4, "logistic", 1.0, 10, "none", 0.0, False, "lw") + ",\n"
           + S.gd_ctes("pc", 4, "hinge", 1.0, 10, "l2", 0.01, False, "sw") + """,
@@ -102,8 +96,9 @@ FROM """ + S.areas_sql("sp") + " b")
 def classifier_metrics(spark, sf_dir):
     data = Tables(spark, sf_dir).page_classification(materialised=True)
     outs = []
-    for name in ("logistic_gd", "svm_gd"):
-        sc = _scored(data, name)
+    names = ("logistic_gd", "svm_gd")
+    for name, model in zip(names, linear.gd_fit_many(data, [GD[n] for n in names])):
+        sc = data.select(model.predict(F.col("features")).alias("prediction"), "label")
         acc = metrics.accuracy(sc)
         # hard 0/1 predictions: both curve areas from one confusion-count aggregate
         h = metrics.hard_label_summary(sc)
@@ -114,6 +109,29 @@ def classifier_metrics(spark, sf_dir):
     return outs[0].unionByName(outs[1])
 
 
+@register("score_curve_areas", "WITH " + S.PAGES_SQL + ",\n"
+          + S.gd_ctes("pc", 4, "logistic", 1.0, 10, "none", 0.0, False, "lw") + ",\n"
+          + S.gd_ctes("pc", 4, "hinge", 1.0, 10, "l2", 0.01, False, "sw") + """,
+lp AS (SELECT 1.0 / (1.0 + exp(-(""" + S.margin_sql("lw10", 4, False) + """))) AS score, label FROM pc, lw10),
+sp AS (SELECT """ + S.margin_sql("sw10", 4, False) + """ AS score, label FROM pc, sw10)
+SELECT 'logistic_gd' AS model, round(a.area_under_roc, 6) AS area_under_roc, round(a.area_under_pr, 6) AS area_under_pr
+FROM """ + S.areas_sql("lp") + """ a
+UNION ALL
+SELECT 'svm_gd', round(b.area_under_roc, 6), round(b.area_under_pr, 6) FROM """ + S.areas_sql("sp") + " b")
+def score_curve_areas(spark, sf_dir):
+    """Areas under the ROC and precision-recall curves over the scores of both
+    classifiers (probabilities, margins), fitted in one descent."""
+    data = Tables(spark, sf_dir).page_classification(materialised=True)
+    names = ("logistic_gd", "svm_gd")
+    outs = []
+    for name, model in zip(names, linear.gd_fit_many(data, [GD[n] for n in names])):
+        scored = data.select(model.score(F.col("features")).alias("score"), "label")
+        areas = metrics.binary_areas(scored, "score", "label")
+        outs.append(areas.select(F.lit(name).alias("model"), F.round("area_under_roc", 6).alias("area_under_roc"),
+                                 F.round("area_under_pr", 6).alias("area_under_pr")))
+    return outs[0].unionByName(outs[1])
+
+
 def _category_nb(t, smoothing=1.0):
     pc = t.page_classification(materialised=True)
     idx = encode.category_index(pc, "category")

@@ -111,6 +111,27 @@ def activity_histogram(spark, sf_dir):
     return profile.density_histogram(Tables(spark, sf_dir).users(), "balance", 20)
 
 
+@register("target_histograms", """
+WITH hd AS (SELECT CAST(count(*) AS DOUBLE) AS cnt FROM events GROUP BY date_trunc('hour', ts)),
+t AS (SELECT 'none' AS transform, cnt AS v FROM hd UNION ALL SELECT 'log', ln(cnt) FROM hd UNION ALL SELECT 'sqrt', sqrt(cnt) FROM hd),
+r AS (SELECT transform, min(v) AS lo, max(v) AS hi, count(*) AS nn FROM t GROUP BY transform),
+b AS (SELECT t.transform, CASE WHEN (hi - lo) / 12 = 0 THEN 0 ELSE CAST(least(floor((v - lo) / ((hi - lo) / 12)), 11) AS INTEGER) END AS bin
+      FROM t JOIN r ON r.transform = t.transform),
+c AS (SELECT transform, bin, count(*) AS n FROM b GROUP BY transform, bin)
+SELECT r.transform, CAST(k.bin AS INTEGER) AS bin, round(lo + k.bin * (hi - lo) / 12, 6) AS bin_lo,
+       round(lo + (k.bin + 1) * (hi - lo) / 12, 6) AS bin_hi, coalesce(c.n, 0) AS n,
+       round(coalesce(c.n, 0) / (nn * ((hi - lo) / 12)), 9) AS density
+FROM range(12) k(bin) CROSS JOIN r LEFT JOIN c ON c.bin = k.bin AND c.transform = r.transform
+""")
+def target_histograms(spark, sf_dir):
+    """Density histograms of hourly demand and of its logarithm and square root."""
+    from pyspark.sql import functions as F
+    hd = Tables(spark, sf_dir).hourly_demand()
+    outs = [profile.density_histogram(hd.select(f("cnt").alias("v")), "v", 12).select(F.lit(name).alias("transform"), "*")
+            for name, f in (("none", F.col), ("log", F.log), ("sqrt", F.sqrt))]
+    return outs[0].unionByName(outs[1]).unionByName(outs[2])
+
+
 @register("release_age_counts", """
 WITH y AS (
   SELECT coalesce(TRY_CAST(right(strftime(o_orderdate, '%d-%b-%Y'), 4) AS INTEGER), 1900) AS yr FROM orders)

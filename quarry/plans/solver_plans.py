@@ -50,16 +50,22 @@ def logistic_solve(spark, sf_dir):
 WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
 m AS (SELECT j, avg(v) AS mean FROM x GROUP BY j)
 SELECT count(DISTINCT vec_id) AS n_rows, 5 AS k, round(sum((v - mean) * (v - mean)), 4) AS total_squares,
-       TRUE AS values_fall, TRUE AS equal_to_gramian, TRUE AS u_orthonormal, TRUE AS below_total
+       TRUE AS values_fall, TRUE AS equal_to_gramian, TRUE AS u_orthonormal, TRUE AS below_total,
+       TRUE AS squares_add_up, TRUE AS shares_rise_to_one
 FROM x JOIN m ON x.j = m.j
 """)
 def svd_truncated_checks(spark, sf_dir):
     """Singular values by block power against those of the Gramian, and the
-    Gramian of U against the identity. The SQL recomputes the rows and the sum of squares."""
+    Gramian of U against the identity; the whole spectrum's squares add up to
+    the total and its cumulative shares rise to one. The SQL recomputes the rows and the sum of squares."""
     e = Tables(spark, sf_dir).embeddings.select("vec_id", "embedding")
     k = 5
     svd = solvers.truncated_svd(e, "embedding", k, extra=24)
-    known, _ = decompose.svd_from_gramian(decompose.gramian_matrix(decompose.gramian_rows(e, "embedding")), k)
+    g = decompose.gramian_matrix(decompose.gramian_rows(e, "embedding"))
+    spectrum, _ = decompose.svd_from_gramian(g, len(g))
+    known = spectrum[:k]
+    share = spectrum.cumsum() / spectrum.sum()
+    rises = bool((share[1:] >= share[:-1]).all() and abs(share[-1] - 1.0) < 1e-12 and (spectrum[1:] <= spectrum[:-1]).all())
     u = svd.left(e, "vec_id", "embedding")
     uu = decompose.gramian(u, "u", centre=False)
     unit = uu.agg(F.max(F.abs(F.col("value") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0))).alias("off"))
@@ -72,4 +78,6 @@ def svd_truncated_checks(spark, sf_dir):
     return attach_row(total, unit).select(
         "n_rows", F.lit(k).alias("k"), F.round("total", 4).alias("total_squares"), F.lit(falls).alias("values_fall"),
         F.lit(same).alias("equal_to_gramian"), (F.col("off") < 1e-6).alias("u_orthonormal"),
-        (F.lit(float((svd.values ** 2).sum())) <= F.col("total")).alias("below_total"))
+        (F.lit(float((svd.values ** 2).sum())) <= F.col("total")).alias("below_total"),
+        (F.abs(F.lit(float((spectrum ** 2).sum())) - F.col("total")) <= 1e-9 * F.col("total")).alias("squares_add_up"),
+        F.lit(rises).alias("shares_rise_to_one"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.parsing import format_labelled_point, parse_labelled_point
 from ..sources import Tables
-from ..streaming import online, stats, windows
+from ..streaming import online, replay, sinks, stats, windows
 from .catalog import register
 
 # The two online models (step sizes) compared on one stream.
@@ -137,3 +138,22 @@ def stream_window_stats(spark, sf_dir):
                                  f"{DELAY_DAYS} days")
     return out.select(F.unix_timestamp("window_start").alias("window_start"), "n_purchases", "n_users", "revenue",
                       "top_product", "top_product_count")
+
+
+@register("stream_labelled_text", """
+SELECT year(l_shipdate) AS ship_year, count(*) AS n, round(sum(l_extendedprice / 10000.0), 4) AS label_sum,
+       round(sum(l_quantity / 50.0), 4) AS x0, round(sum(l_discount * 10.0), 4) AS x1, round(sum(l_tax * 10.0), 4) AS x2
+FROM lineitem GROUP BY 1
+""")
+def stream_labelled_text(spark, sf_dir):
+    """Labelled points as lines of text, streamed, parsed and summed by year (complete mode, memory sink)."""
+    points = regression_points(Tables(spark, sf_dir))
+    path = replay.new_run_dir(spark, "labelled-text")
+    line = format_labelled_point(F.col("label"), F.concat(F.col("features"), F.array(F.col("ship_year").cast("double"))))
+    points.select(line.alias("value")).write.mode("overwrite").text(path)
+    label, x = parse_labelled_point(F.col("value"))
+    parsed = replay.read_text_stream(spark, path, 4).select(label.alias("y"), x.alias("x"))
+    sums = parsed.groupBy(F.col("x")[3].cast("int").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("label_sum"), *[F.sum(F.col("x")[j]).alias(f"x{j}") for j in range(3)])
+    out = sinks.to_memory(sums, "complete")
+    return out.select(F.col("ship_year").cast("long").alias("ship_year"), "n", F.round("label_sum", 4).alias("label_sum"), *[F.round(f"x{j}", 4).alias(f"x{j}") for j in range(3)])

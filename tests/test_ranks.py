@@ -51,3 +51,12 @@ def test_map_ranks_all_items(spark):
     plain = _plain(users, items, {(r.user, r.item) for r in data.collect()})
     row = check_plans._ranking(model, data, lists).first()
     assert row["n_users"] == len(plain) and abs(row["map"] - sum(plain.values()) / len(plain)) < 1e-9
+
+
+def test_users_without_truth_score_one(spark):
+    from quarry.operators import metrics
+    truth = spark.createDataFrame([(1, 10), (2, 20)], "user long, item long")
+    ranked = spark.createDataFrame([(1, 10, 1), (2, 21, 1)], "user long, item long, rank int")
+    users = spark.createDataFrame([(1,), (2,), (3,), (3,)], "user long")
+    got = metrics.average_precision(truth, ranked, "user", "item", "rank", 5, users)
+    assert {r["user"]: r["ap"] for r in got.collect()} == {1: 1.0, 2: 0.0, 3: 1.0}
