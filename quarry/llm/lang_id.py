@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,13 +13,19 @@ from .common import Shared, append_columns, hash_sample, passage
 
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 _STEP = 64
 _GROUP = 200_000
 _WORDS_KEPT = 300_000
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Runs of letters (\\p{L}), lower-cased."""
+    found = _WORD.findall(text.lower())
+    if "".join(found).isalpha():
+        return found
+    # signs such as a half or a raised two count as part of a word above, but are no letters
+    return [part for word in found for part in ([word] if word.isalpha() else _LETTERS.findall(word))]
 
 
 def features(word: str) -> list[str]:
