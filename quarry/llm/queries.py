@@ -117,4 +117,4 @@ def oracles() -> dict[str, str]:
     """Digests that need XXH64, a tokenizer, a learned model or an expression parser have none."""
     return {"op1_embedding_dedup": sql.EMBEDDINGS.strip(), "op6_chat_format": sql.CHAT.strip(),
             "op8_decontamination": sql.DECONTAMINATION.strip(), "op11_divergence": sql.DIVERGENCE.strip(),
-            "op12_fill_in_middle": sql.FILL.strip()}
+            "op12_fill_in_middle": sql.FILL.strip(), "op13_suffix_dedup": sql.REPEATS.strip()}

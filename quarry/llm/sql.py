@@ -113,3 +113,22 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(t) AS restored_sha256
 FROM s
 """
+
+#: Every 200-byte string as 400 hex digits, cut from pieces of a text; runs of covered bytes, and the rest between them.
+REPEATS = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS MATERIALIZED (SELECT r, c, n, substr(h, 800 * c + 1, 1200) AS p
+      FROM (SELECT r, h, length(h) // 2 AS n, unnest(range(0, (length(h) // 2 - 200) // 400 + 1)) AS c FROM d WHERE length(h) >= 400)),
+w AS MATERIALIZED (SELECT r, 400 * c + j AS i, md5(substr(p, 2 * j + 1, 400)) AS k
+      FROM (SELECT r, c, p, unnest(range(0, least(400, n - 199 - 400 * c))) AS j FROM c)),
+again AS MATERIALIZED (SELECT r, i FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+marks AS (SELECT r, i, CASE WHEN i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 1 ELSE 0 END AS fresh FROM again),
+runs AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM marks),
+spans AS MATERIALIZED (SELECT r, min(i) AS lo, max(i) + 200 AS hi FROM runs GROUP BY r, g),
+gaps AS (SELECT r, lo AS upto, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS since FROM spans
+         UNION ALL SELECT d.r, length(d.h) // 2, coalesce(max(hi), 0) FROM d LEFT JOIN spans ON spans.r = d.r GROUP BY d.r, d.h),
+kept AS (SELECT g.r, string_agg(substr(h, 2 * since + 1, 2 * (upto - since)), '' ORDER BY since) AS rest FROM gaps g JOIN d ON d.r = g.r GROUP BY g.r)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(s.gone, 0) AS BIGINT) AS n_removed, coalesce(s.n, 0) AS n_spans,
+       sha256(unhex(rest)) AS kept_sha256
+FROM d JOIN kept ON kept.r = d.r LEFT JOIN (SELECT r, count(*) AS n, sum(hi - lo) AS gone FROM spans GROUP BY r) s ON s.r = d.r
+"""

@@ -10,7 +10,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from quarry.llm import divergence, fill_middle, queries as Q, sql, suffix_dedup, suffix_merge
+from quarry.llm import divergence, fill_middle, queries as Q, suffix_dedup, suffix_merge
 
 DOCS = "doc_id long, text string, lang string, source string"
 
@@ -164,11 +164,11 @@ def test_op11_edges(spark):
     assert divergence.source_divergence(df.filter("false")).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op11_divergence", "op12_fill_in_middle"])
+@pytest.mark.parametrize("name", ["op11_divergence", "op12_fill_in_middle", "op13_suffix_dedup"])
 def test_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF_SMALL}/documents.parquet'")
-    want = con.execute({"op11_divergence": sql.DIVERGENCE, "op12_fill_in_middle": sql.FILL}[name])
+    want = con.execute(Q.oracles()[name])
     cols = sorted(d[0] for d in want.description)
     at = [d[0] for d in want.description]
     want = Counter(tuple(r[at.index(c)] for c in cols) for r in want.fetchall())
