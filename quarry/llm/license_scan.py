@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 
@@ -36,6 +37,7 @@ RESTRICTION = {
     "epl": 0.4, "gpl": 0.6, "agpl": 0.7, "reserved": 1.0,
 }
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
+_LEAD, _BLANKS, _EOL = re.compile(r"[ \t:]*"), re.compile(r"[ \t]*"), re.compile(r"[\r\n]")
 _RANK = {"OR": 1, "AND": 2, "WITH": 3}
 FIELDS = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, expressions array<string>, spans array<struct<start:long,end:long,label:string>>")
@@ -45,8 +47,8 @@ def restriction(label: str) -> float:
     return RESTRICTION[max((k for k in RESTRICTION if label.startswith(k)), key=len)]
 
 
-def parse_expression(text: str) -> tuple[set[str], float, int] | None:
-    """Labels, restriction and length of the longest licence expression that ``text`` starts with.
+def parse_expression(text: str, start: int = 0, stop: int | None = None) -> tuple[set[str], float, int] | None:
+    """Labels, restriction and end of the longest licence expression at ``start`` of ``text``, up to ``stop``.
 
     A shunting-yard pass: WITH binds closest, then AND, then OR. A choice (OR)
     restricts as its mildest part, a conjunction (AND) as its strictest, and
@@ -55,8 +57,9 @@ def parse_expression(text: str) -> tuple[set[str], float, int] | None:
     left open at the end are cut off. None if no expression starts here.
     """
     tokens, want, depth, good = [], True, 0, (0, 0)
-    at = len(text) - len(text.lstrip(" \t:"))
-    while m := _TOKEN.match(text, at):
+    stop = len(text) if stop is None else stop
+    at = _LEAD.match(text, start, stop).end()
+    while m := _TOKEN.match(text, at, stop):
         t = m.group()
         op = t.upper() in _RANK
         if t == "(" and want:
@@ -71,7 +74,7 @@ def parse_expression(text: str) -> tuple[set[str], float, int] | None:
         at = m.end()
         if not want and not depth:
             good = (len(tokens), at)
-        at += len(text[at:]) - len(text[at:].lstrip(" \t"))
+        at = _BLANKS.match(text, at, stop).end()
     if not good[0]:
         return None
     values: list[tuple[set[str], float]] = []
@@ -104,6 +107,20 @@ def parse_expression(text: str) -> tuple[set[str], float, int] | None:
     return values[0][0], values[0][1], good[1]
 
 
+def _longest(notices: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Of notices that overlap the longest, then the first: taken in that order
+    where none taken before lies. The taken ones never overlap, so only the
+    neighbours in order of start can meet a new one."""
+    starts: list[int] = []
+    taken: dict[int, tuple[int, int, str]] = {}
+    for s, e, v in sorted(notices, key=lambda x: (x[0] - x[1], x[0])):
+        at = bisect_left(starts, s)
+        if (not at or taken[starts[at - 1]][1] <= s) and (at == len(starts) or starts[at] >= e):
+            starts.insert(at, s)
+            taken[s] = (s, e, v)
+    return sorted(taken.values(), key=lambda x: (x[0] - x[1], x[0]))
+
+
 def licences(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of ``docs`` plus n_words, n_base, first_word, last_word,
     base_labels, labels, score, expressions and spans (code points, end
@@ -135,31 +152,32 @@ def licences(docs: DataFrame, text: str = "text") -> DataFrame:
             base = [(s, e, v["base"]) for s, e, v in places if "base" in v]
             labels, score, expressions = {v for _, _, v in base}, 0.0, []
             spans = [(s, e, v) for s, e, v in base]
-            kept: list = []
-            for s, e, v in sorted((x for x in places if "notice" in x[2]), key=lambda x: (x[0] - x[1], x[0])):
-                if all(e <= s2 or s >= e2 for s2, e2, _ in kept):
-                    kept.append((s, e, v["notice"]))
+            kept = _longest([(s, e, v["notice"]) for s, e, v in places if "notice" in v])
             labels |= {v for _, _, v in kept}
             spans += kept
             covered = {i for s, e, _ in kept for i in range(s, e)}
             score = max([0.0, *(restriction(v) for _, _, v in kept),
                          *(restriction(v) for s, e, v in base if not covered >= set(range(s, e)))])
             found = [(offsets[s][0], offsets[e - 1][1], v) for s, e, v in spans]
-            for s, e, v in places:
-                if "tag" in v:
-                    at = offsets[e - 1][1]
-                    line = re.split(rb"[\r\n]", raw[at:], maxsplit=1)[0].decode("utf-8", "replace")
-                    if got := parse_expression(line):
-                        labels |= got[0]
-                        score = max(score, got[1])
-                        expressions.append(line[:got[2]].strip(" \t:"))
-                        found.append((offsets[s][0], at + len(line[:got[2]].encode()), expressions[-1]))
-            edges = sorted({x for s, e, _ in found for x in (s, e)})
+            tags = [(offsets[s][0], offsets[e - 1][1]) for s, e, v in places if "tag" in v]
+            edges = sorted({x for s, e, *_ in found + tags for x in (s, e)})
             point = dict(zip(edges, code_points(raw, edges)))
+            found = [(point[s], point[e], v) for s, e, v in found]
+            whole = raw.decode("utf-8", "replace") if tags else ""
+            stop = -1
+            for s, e in sorted(tags):
+                if stop < point[e]:
+                    eol = _EOL.search(whole, point[e])
+                    stop = eol.start() if eol else len(whole)
+                if got := parse_expression(whole, point[e], stop):
+                    labels |= got[0]
+                    score = max(score, got[1])
+                    expressions.append(whole[point[e]:got[2]].strip(" \t:"))
+                    found.append((point[s], got[2], expressions[-1]))
             return (len(words), len(base), min((s for s, _, _ in base), default=None),
                     max((s for s, _, _ in base), default=None), ",".join(sorted({v for _, _, v in base})),
                     ",".join(sorted(labels)), score, expressions,
-                    [{"start": point[s], "end": point[e], "label": v} for s, e, v in sorted(found)])
+                    [{"start": a, "end": b, "label": v} for a, b, v in sorted(found)])
 
         return lambda raw: [list(c) for c in zip(*map(one, raw))] if raw else [[] for _ in range(9)]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -127,51 +128,93 @@ def span_features(text: str, a: int, b: int, tokens: int) -> list[str]:
     return out
 
 
+class Tokens:
+    """Tokens of an island, and its candidate segments by first token."""
+
+    def __init__(self, text: str, lo: int, hi: int):
+        self.text = text
+        flat = np.fromiter((x for m in _TOKEN.finditer(text, lo, hi) for x in m.span()), np.int64)
+        self.start, self.end = flat[::2], flat[1::2]
+        first = [text[a] for a in self.start.tolist()]
+        self.signs = np.concatenate([[0], np.cumsum([c.isdigit() or c == "@" for c in first], dtype=np.int64)])
+        self.word = np.array([c.isalnum() for c in first], bool)
+        self.opens = self.word | np.array([c in "+(" for c in first], bool)
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def from_token(self, i: int) -> list[int]:
+        """Ends (past the last token) of the segments that start at token ``i``."""
+        if not self.opens[i]:
+            return []
+        return [j for j in range(i + 1, min(len(self), i + _LONGEST) + 1)
+                if self.signs[j] > self.signs[i] and self.word[j - 1]]
+
+    def place(self, i: int, j: int) -> tuple[int, int]:
+        return int(self.start[i]), int(self.end[j - 1])
+
+    def features(self, i: int, j: int) -> list[str]:
+        return span_features(self.text, *self.place(i, j), j - i)
+
+
 class Island:
-    """Tokens of an island and its candidate segments (first, past the last)."""
+    """All candidate segments (first, past the last) of a short island, with their features: for the fit."""
 
     def __init__(self, text: str, lo: int, hi: int):
-        at = [m.span() for m in _TOKEN.finditer(text, lo, hi)]
-        self.at = at
-        signs = np.concatenate([[0], np.cumsum([text[a].isdigit() or text[a] == "@" for a, _ in at])])
-        fit = lambda k: text[at[k][0]].isalnum() or text[at[k][0]] in "+("
-        self.spans = [(i, j) for i in range(len(at)) if fit(i) for j in range(i + 1, min(len(at), i + _LONGEST) + 1)
-                      if signs[j] > signs[i] and text[at[j - 1][0]].isalnum()]
-        self.features = [span_features(text, at[i][0], at[j - 1][1], j - i) for i, j in self.spans]
+        tokens = Tokens(text, lo, hi)
+        self.at = list(zip(tokens.start.tolist(), tokens.end.tolist()))
+        self.spans = [(i, j) for i in range(len(tokens)) for j in tokens.from_token(i)]
+        self.features = [tokens.features(i, j) for i, j in self.spans]
 
 
-def _best(n: int, spans, scores: np.ndarray, trans: np.ndarray) -> list[tuple[int, int, int]]:
-    """Most likely segmentation: dynamic programming over (position, last
-    kind); a position is left by an outside token or by a whole entity."""
-    k = scores.shape[1]
-    best = np.full((n + 1, k + 1), -np.inf)
+def best_segments(n: int, starting: Callable[[int], tuple[list[int], list[np.ndarray]]],
+                  trans: np.ndarray) -> list[tuple[int, int, int]]:
+    """Most likely segmentation of ``n`` tokens as (first, past the last, kind):
+    dynamic programming over (position, last kind); a position is left by an
+    outside token or by a whole entity.
+
+    ``starting(i)`` gives the ends of the segments from ``i`` and their scores
+    by kind, and is asked once for each position. Scores are held for the next
+    ``_LONGEST`` positions alone; two bytes a token and kind remember the way back.
+    """
+    k = trans.shape[1]
+    ring = _LONGEST + 1
+    best = np.full((ring, k + 1), -np.inf)
     best[0, k] = 0.0
-    back: dict = {}
-    starting: list[list[int]] = [[] for _ in range(n)]
-    for x, (i, _) in enumerate(spans):
-        starting[i].append(x)
+    length = np.zeros((n + 1, k + 1), np.int8)   # tokens of the entity that ends here; 0: an outside token
+    before = np.full((n + 1, k + 1), k, np.int8)  # the kind before it
     for i in range(n):
-        for last in np.flatnonzero(best[i] > best[i + 1]):
-            best[i + 1, last] = best[i, last]
-            back[i + 1, last] = (i, int(last), None)
-        if starting[i]:
-            prior = best[i][:, None] + trans
+        here, after = best[i % ring], best[(i + 1) % ring]
+        stay = here > after
+        after[stay] = here[stay]
+        length[i + 1, stay], before[i + 1, stay] = 0, np.flatnonzero(stay)
+        ends, scores = starting(i)
+        if ends:
+            prior = here[:, None] + trans
             frm, top = prior.argmax(0), prior.max(0)
-            for x in starting[i]:
-                j = spans[x][1]
-                new = top + scores[x]
-                for c in np.flatnonzero(new > best[j, :k]):
-                    best[j, c] = new[c]
-                    back[j, c] = (i, int(frm[c]), x)
-    out, state = [], (n, int(best[n].argmax()))
-    while state[0]:
-        i, last, x = back[state]
-        if x is not None:
-            out.append((*spans[x], state[1]))
-        state = (i, last)
+            for j, score in zip(ends, scores):
+                new, old = top + score, best[j % ring]
+                better = np.flatnonzero(new > old[:k])
+                old[better] = new[better]
+                length[j, better], before[j, better] = j - i, frm[better]
+        here[:] = -np.inf
+    out, at, kind = [], n, int(best[n % ring].argmax())
+    while at:
+        size, last = int(length[at, kind]), int(before[at, kind])
+        if size:
+            out.append((at - size, at, kind))
+        at, kind = at - (size or 1), last
     return out[::-1]
 
 
+def _best(n: int, spans, scores: np.ndarray, trans: np.ndarray) -> list[tuple[int, int, int]]:
+    """``best_segments`` of segments that are all at hand, in any order."""
+    starting: list[list[int]] = [[] for _ in range(n)]
+    for x, (i, _) in enumerate(spans):
+        starting[i].append(x)
+    return best_segments(n, lambda i: ([spans[x][1] for x in starting[i]], [scores[x] for x in starting[i]]), trans)
+
+
 def _expected(n: int, spans, scores: np.ndarray, trans: np.ndarray):
     """Posterior of every (segment, kind) and expected kind transitions, by
     forward-backward over all segmentations."""
@@ -212,19 +255,25 @@ class SpanModel:
     def __init__(self, number, weights, trans):
         self.number, self.weights, self.trans = number, weights, trans
 
-    def scores(self, island: Island) -> np.ndarray:
+    def score(self, features: list[str]) -> np.ndarray:
         get = self.number.get
-        return np.array([self.weights[[i for f in fs if (i := get(f)) is not None]].sum(0) for fs in island.features])
+        return self.weights[[i for f in features if (i := get(f)) is not None]].sum(0)
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
+        """Entities of all islands, a start position after the other: neither
+        segments nor features of an island are held together."""
         out = []
         for lo, hi in islands(text):
             if hi - lo < 5:  # shorter than any entity
                 continue
-            island = Island(text, lo, hi)
-            if island.spans:
-                for i, j, c in _best(len(island.at), island.spans, self.scores(island), self.trans):
-                    out.append((island.at[i][0], island.at[j - 1][1], KINDS[c]))
+            tokens = Tokens(text, lo, hi)
+
+            def starting(i: int, tokens: Tokens = tokens) -> tuple[list[int], list[np.ndarray]]:
+                ends = tokens.from_token(i)
+                return ends, [self.score(tokens.features(i, j)) for j in ends]
+
+            for i, j, c in best_segments(len(tokens), starting, self.trans):
+                out.append((*tokens.place(i, j), KINDS[c]))
         return out
 
 
@@ -337,8 +386,9 @@ def personal_data(docs: DataFrame, model: SpanModel | None, text: str = "text",
     unless ``mask``). A column of ``docs`` with one of these names is replaced.
 
     The field segments the runs of words that hold a digit or an at sign; a
-    candidate segment has up to 24 tokens. Its spans are added where no base
-    span is. Null is empty: no spans, an empty masked text. Without a model
+    candidate segment has up to 24 tokens. A run without an end (an inlined
+    file of a megabyte) is segmented in a stream: what is held grows by some 50 bytes a
+    token, not with its segments. Its spans are added where no base span is. Null is empty: no spans, an empty masked text. Without a model
     only base spans are found.
     """
     shared = Shared(docs, model)
