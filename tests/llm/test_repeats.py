@@ -40,3 +40,13 @@ def test_repeated_rows_are_rounded_one_by_one(spark):
 def test_null_ids_keep_one_row_of_a_fingerprint(spark):
     got = corpus_pipeline.near_duplicates(spark, docs(spark), "").filter("doc_id is null").collect()
     assert sorted(r.text or "" for r in got) == ["", "the same words"]
+
+
+def test_null_ids_follow_their_component(spark):
+    words = " ".join(f"word{i}" for i in range(400))
+    rows = [(4, words, "en", "a", 1), (None, words, "en", "a", 1), (9, words, "fr", "b", 1),
+            (None, "a text alone without any name", "en", "a", 1), (None, "a text alone without any name", "fr", "b", 2)]
+    df = spark.createDataFrame(rows, DOCS).withColumnRenamed("n_chars", "source_row").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert sorted((r.doc_id or -1, r.text) for r in got) == [(-1, "a text alone without any name"), (4, words)]
+    assert got[0].asDict().keys() == {"doc_id", "text", "lang", "source", "source_row"}
