@@ -30,14 +30,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each SimHash component (3-word
-    shingles, 2 bits); repeated rows of it count once. Of the documents without
-    an id, one of each fingerprint stays."""
-    found = simhash_dedup.near_duplicates(docs, shingle=3, max_bits=2)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns)
-    once = named.dropDuplicates(["doc_id"]) if _repeats(kept, found) else named
-    nameless = simhash_dedup.fingerprints(docs.filter("doc_id is null"), "text", 3, "_fingerprint")
-    return once.unionByName(nameless.dropDuplicates(["_fingerprint"]).select(*docs.columns))
+    shingles, 2 bits); repeated rows of it count once. A document without an id
+    stays only if its component has no named one, and then one of them does."""
+    row = max(docs.columns, key=len) + "_row"   # clashes with no column
+    numbered = docs.withColumn(row, F.col("doc_id"))
+    if not docs.filter("doc_id is null").isEmpty():
+        # numbers after all ids, and written once, so that every reader sees the same ones
+        last = docs.agg(F.coalesce(F.max("doc_id"), F.lit(0)).cast("long")).first()[0]
+        own = docs.filter("doc_id is null").withColumn(row, F.monotonically_increasing_id() + F.lit(last + 1))
+        numbered = numbered.filter("doc_id is not null").unionByName(materialise(own, "unnamed"))
+    found = simhash_dedup.near_duplicates(numbered, id_col=row, shingle=3, max_bits=2)
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(row)).distinct()
+    once = numbered.join(kept, row, "left_semi")
+    if _repeats(kept.withColumnRenamed(row, "doc_id"), found):
+        once = once.dropDuplicates([row])
+    return once.select(*docs.columns)
 
 
 def _repeats(kept: DataFrame, found: DataFrame) -> bool:
