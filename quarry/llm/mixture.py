@@ -44,28 +44,57 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def _pair(state: Column, unit: Column, level: int, seed: int) -> Column:
-    """One pivotal step: the carried unit meets the next; one of them becomes
-    integral, the other carries their remaining mass."""
-    held, total = state["held"], state["held"]["p"] + unit["p"]
-    draw = _uniform(held["u"], unit["u"], F.lit(level), F.lit(seed))
-    low = total < 1.0
-    # below one in sum: one of them gets 0 and the other the whole mass; else one gets 1 and the other the rest
-    held_goes = F.when(low, draw * total < unit["p"]).otherwise(draw * (2.0 - total) < 1.0 - unit["p"])
-    left = F.when(low, total).otherwise(total - 1.0)
-    extra = F.when(low, F.lit(0)).otherwise(F.lit(1))
-
-    def settled(x: Column) -> Column:
-        return F.struct(x["size"].alias("size"), x["u"].alias("u"), x["doc_id"].alias("doc_id"), extra.alias("extra"))
-
-    def carried(x: Column) -> Column:
-        return F.struct(x["size"].alias("size"), x["u"].alias("u"), x["doc_id"].alias("doc_id"), left.alias("p"))
+def _settled(x: Column, extra: Column) -> Column:
+    return F.struct(x["size"].alias("size"), x["u"].alias("u"), x["doc_id"].alias("doc_id"), extra.cast("int").alias("extra"))
+
+
+def _carried(x: Column, p: Column) -> Column:
+    return F.struct(x["size"].alias("size"), x["u"].alias("u"), x["doc_id"].alias("doc_id"),
+                    F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)).alias("p"))
 
+
+def _against_rest(state: Column, unit: Column, level: int, seed: int, none: Column) -> Column:
+    """One pivotal step of a leaf: a unit against all smaller ones of its group,
+    which share one probability ``q`` and ``rest - size`` words.
+
+    Words move from the one to the other until the unit or the rest is
+    integral. The first is the rule, and the smaller units take up the
+    difference; in the second the unit is held with what is left.
+    """
+    size, q, after = unit["size"], state["q"], state["rest"] - unit["size"]
+    up, down = F.least(size * (1.0 - q), after * q), F.least(size * q, after * (1.0 - q))
+    rises = _uniform(unit["u"], F.lit(level), F.lit(seed)) * (up + down) < down
+    whole = F.when(rises, size * (1.0 - q) <= after * q).otherwise(size * q <= after * (1.0 - q))
+    over = state["held"].isNotNull()
+    last = after <= 0
+    moved = F.when(rises, q - up / after).otherwise(q + down / after)
+    held = (F.when(over, state["held"]).when(last, _carried(unit, q)).when(whole, none)
+            .otherwise(_carried(unit, F.when(rises, q + up / size).otherwise(q - down / size))))
+    extra = F.when(over, q).when(rises, F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.struct(
+        F.when(over | last, q).when(whole, F.greatest(F.lit(0.0), F.least(F.lit(1.0), moved)))
+        .when(rises, F.lit(0.0)).otherwise(F.lit(1.0)).alias("q"),
+        after.alias("rest"), held.alias("held"),
+        F.when(over | (~last & whole), F.concat(state["done"], F.array(_settled(unit, extra)))).otherwise(state["done"]).alias("done"))
+
+
+def _pair(state: Column, unit: Column, level: int, seed: int) -> Column:
+    """One pivotal step above the leaves: words move between the carried unit
+    and the next until one of them is integral; the other goes on."""
+    held = state["held"]
+    room, mass = held["size"] * (1.0 - held["p"]), held["size"] * held["p"]
+    unit_room, unit_mass = unit["size"] * (1.0 - unit["p"]), unit["size"] * unit["p"]
+    up, down = F.least(room, unit_mass), F.least(mass, unit_room)
+    rises = _uniform(held["u"], unit["u"], F.lit(level), F.lit(seed)) * (up + down) < down
+    held_stays = F.when(rises, unit_mass <= room).otherwise(unit_room <= mass)
+    held_p = F.when(rises, held["p"] + up / held["size"]).otherwise(held["p"] - down / held["size"])
+    unit_p = F.when(rises, unit["p"] - up / unit["size"]).otherwise(unit["p"] + down / unit["size"])
     first = held.isNull()
     return F.struct(
-        F.when(first, unit).when(held_goes, carried(unit)).otherwise(carried(held)).alias("held"),
-        F.when(first, state["done"]).otherwise(
-            F.concat(state["done"], F.array(F.when(held_goes, settled(held)).otherwise(settled(unit))))).alias("done"))
+        F.when(first, unit).when(held_stays, _carried(held, held_p)).otherwise(_carried(unit, unit_p)).alias("held"),
+        F.when(first, state["done"]).otherwise(F.concat(state["done"], F.array(
+            F.when(held_stays, _settled(unit, F.when(rises, 0).otherwise(1)))
+            .otherwise(_settled(held, F.when(rises, 1).otherwise(0)))))).alias("done"))
 
 
 def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -109,18 +138,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     the mix takes the document and ``taken`` = copies x size. Every document
     of a source has the expected number of copies target / source_size, at
     most ``most``; whole copies are certain and the fractions are rounded
-    together by the pivotal method, so the number of copies of a source
-    differs from its expectation by less than one and the words taken stay
-    near the target. Draws come from hashes, so reruns agree.
-
-    The units of a source are dealt by a hash to groups of about ``fan_in``,
-    walked in order of size; each group settles all its units but one, which
-    carries the remaining mass to the next level of the tree, until a source
-    has one unit left. A source of any size is thus many small groups, and
-    each level is written to the shared folder. Only DataFrame functions run.
+    together by the pivotal method. A step moves words, not copies, so the
+    words taken of a source differ from its target by less than the size of
+    the unit that is left last. Draws come from hashes, so reruns agree.
+
+    The units of a source are dealt by a hash to groups of about ``fan_in``
+    and walked from the largest to the smallest: a unit is paired with all
+    smaller ones of its group together, which then hold the difference, so the
+    unit left over is as a rule a small one. Such units carry the
+    remaining mass to the next level of the tree, where they meet in pairs,
+    until a source has one unit left. A source of any size is thus many small
+    groups, and each level is written to the shared folder. Only DataFrame
+    functions run.
 
     Null sources form a source of their own, the last. A source of size 0 has
-    target 0. Null ids are kept; repeated rows are rounded one by one. An
+    target 0; a text without words is drawn alone. Null ids are kept; repeated rows are rounded one by one. An
     empty table gives an empty result. Other columns are ignored. ``unit`` is a
     hash of the text and the id; of rows that share id, source and text, the
     later ones get hashes of their own (``own_units``).
@@ -140,22 +172,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
              .withColumn("p", F.when(F.col("rate") - F.col("whole") > _EPS, F.col("rate") - F.col("whole"))
                          .otherwise(F.lit(0.0))))
     group = ["source", "source_size", "target", "whole"]
-    certain = units.filter("p = 0").select(*group, "doc_id", "u", "size", F.lit(0).alias("extra"))
-    open_units = units.filter("p > 0").select(*group, "n", "size", "u", "doc_id", "p")
+    # without words a fraction moves no mass: those are drawn alone
+    alone = F.when(_uniform(F.col("u"), F.lit(-2), F.lit(seed)) < F.col("p"), 1).otherwise(0)
+    certain = units.filter("p = 0 or size = 0").select(*group, "doc_id", "u", "size", alone.alias("extra"))
+    open_units = units.filter("p > 0 and size > 0").select(*group, "n", "size", "u", "doc_id", "p")
     settled, level = [certain], 0
-    unit_type = "struct<size:bigint,u:bigint,doc_id:%s,p:double>" % sized.schema["doc_id"].dataType.simpleString()
-    done_type = "array<struct<size:bigint,u:bigint,doc_id:%s,extra:int>>" % sized.schema["doc_id"].dataType.simpleString()
+    id_type = sized.schema["doc_id"].dataType.simpleString()
+    none = F.lit(None).cast(f"struct<size:bigint,u:bigint,doc_id:{id_type},p:double>")
+    no_units = F.array().cast(f"array<struct<size:bigint,u:bigint,doc_id:{id_type},extra:int>>")
     while True:
-        start = F.struct(F.lit(None).cast(unit_type).alias("held"), F.array().cast(done_type).alias("done"))
+        if level == 0:
+            start = F.struct(F.col("all")[0]["p"].alias("q"),
+                             F.aggregate("all", F.lit(0).cast("bigint"), lambda n, x: n + x["size"]).alias("rest"),
+                             none.alias("held"), no_units.alias("done"))
+            walk = F.aggregate("all", start, lambda s, x: _against_rest(s, x, level, seed, none))
+        else:
+            start = F.struct(none.alias("held"), no_units.alias("done"))
+            walk = F.aggregate("all", start, lambda s, x: _pair(s, x, level, seed))
         one = (open_units.withColumn("groups", F.ceil(F.col("n") / F.lit(fan_in)))
                .withColumn("g", F.pmod(F.xxhash64("u", F.lit(level)), F.col("groups")))
                .groupBy(*group, "groups", "g")
-               .agg(F.array_sort(F.collect_list(F.struct("size", "u", "doc_id", "p"))).alias("all"))
-               .withColumn("walk", F.aggregate("all", start, lambda s, x: _pair(s, x, level, seed))))
+               .agg(F.reverse(F.array_sort(F.collect_list(F.struct("size", "u", "doc_id", "p")))).alias("all"))
+               .withColumn("walk", walk))
         one = materialise(one.select(*group, "groups", "walk"), f"rounding-{level}")
         settled.append(one.select(*group, F.explode("walk.done").alias("d"))
                        .select(*group, "d.doc_id", "d.u", "d.size", "d.extra"))
-        open_units = one.select(*group, F.col("groups").alias("n"), "walk.held.*")
+        open_units = one.select(*group, F.col("groups").alias("n"), "walk.held.*").filter("p is not null")
         if (one.agg(F.max("groups")).first()[0] or 1) == 1:
             break
         level += 1
