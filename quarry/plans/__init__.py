@@ -18,3 +18,4 @@ from . import stream_plans  # noqa: F401
 from . import solver_plans  # noqa: F401
 from . import tree_plans  # noqa: F401
 from . import fit_plans  # noqa: F401
+from . import word_plans  # noqa: F401

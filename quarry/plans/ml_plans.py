@@ -10,6 +10,7 @@ from ..operators import encode, metrics, trees, tune
 from ..operators.common import attach_row
 from ..sources import Tables
 from .catalog import register
+from .text_plans import _pruned_tf
 
 DEPTHS = (1, 2, 3, 4, 5, 10, 20)   # fixed values: swept tree depths
 BINS = (2, 4, 8, 16, 32, 64, 100)   # fixed values: swept bin counts
@@ -61,16 +62,19 @@ def tree_regressor_sweep(spark, sf_dir):
 
 @register("hashing_tfidf_nb")
 def hashing_tfidf_nb(spark, sf_dir):
-    """2^18 hashed term frequencies -> IDF -> multinomial naive Bayes
+    """Tokens without rare ones (corpus count below 2) -> 2^18 hashed term frequencies -> IDF -> multinomial naive Bayes
     (smoothing 0.1) predicting the language; hold-out by keyed hash."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import NaiveBayes
     from pyspark.ml.feature import IDF, HashingTF
     d = Tables(spark, sf_dir).documents
     lab = encode.category_index(d, "lang", "label")
-    docs = (d.join(lab, "lang")
+    # a term as often as the text holds it; texts without a kept term stay, with none
+    kept = (_pruned_tf(d).groupBy("doc_id")
+            .agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int")))).alias("tokens")))
+    docs = (d.join(lab, "lang").join(kept, "doc_id", "left")
             .select("doc_id", F.col("label").cast("double").alias("label"),
-                    T.normalised_tokens(F.col("text")).alias("tokens")))
+                    F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")))
     train, test = tune.hash_split(docs, "doc_id", 0.2)
     pipe = Pipeline(stages=[HashingTF(numFeatures=1 << 18, inputCol="tokens", outputCol="tf"),
                             IDF(inputCol="tf", outputCol="tfidf"),
