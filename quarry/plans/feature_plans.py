@@ -148,3 +148,25 @@ def centre(spark, sf_dir):
     c = encode.centre(e, "embedding", "c")
     return c.select("vec_id", F.posexplode("c").alias("dim", "value")) \
         .select("vec_id", "dim", F.round("value", 6).alias("value"))
+
+
+@register("image_round_trip", """
+WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) AS j,
+                  CAST(floor(abs(CAST(unnest(embedding) AS DOUBLE)) * 1000) AS BIGINT) % 256 AS v FROM embeddings)
+SELECT vec_id, count(*) AS n_pixels, CAST(sum(v) AS DOUBLE) AS pixel_sum, CAST(sum(v * j) AS DOUBLE) AS weighted_sum
+FROM x GROUP BY vec_id
+""")
+def image_round_trip(spark, sf_dir):
+    """Embeddings as grey PNG images, written to the shared folder, read again,
+    decoded and summed: every pixel with its place."""
+    from ..sources import images
+    from ..sources.files import materialise
+    e = Tables(spark, sf_dir).embeddings
+    grey = F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 1000) % 256)
+    rows = e.select(F.col("vec_id").cast("string").alias("path"), grey.alias("pixels"))
+    stored = materialise(images.encode_images(rows, "pixels"), "images")
+    read = images.pixel_vectors(images.decode_images(stored).filter("data is not null"), None, None)
+    total = F.aggregate("pixels", F.lit(0.0), lambda s, x: s + x)
+    placed = F.aggregate(F.transform("pixels", lambda x, i: x * (i + 1)), F.lit(0.0), lambda s, x: s + x)
+    return read.select(F.col("path").cast("long").alias("vec_id"), F.size("pixels").cast("long").alias("n_pixels"),
+                       total.alias("pixel_sum"), placed.alias("weighted_sum"))

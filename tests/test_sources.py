@@ -86,3 +86,52 @@ def test_image_vectors(spark):
     assert np.allclose(rows["img_0002.png"], 255.0)
     # top-left pixel of the first image: r=0, g=0, b=100 -> grey 0.114 * 100
     assert abs(rows["img_0001.png"][0] - 11.4) < 1e-9
+
+
+def _filtered_png(pixels, kinds):
+    """An RGB PNG whose rows use the given filters, written without the library."""
+    h, w, _ = pixels.shape
+    flat = pixels.reshape(h, w * 3).astype(int)
+    body = b""
+    for y, kind in enumerate(kinds):
+        line = []
+        for i in range(w * 3):
+            a, b = (flat[y, i - 3] if i >= 3 else 0), (flat[y - 1, i] if y else 0)
+            c = flat[y - 1, i - 3] if y and i >= 3 else 0
+            p = a + b - c
+            paeth = min(((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c)))[2]
+            line.append((flat[y, i] - (0, a, b, (a + b) // 2, paeth)[kind]) % 256)
+        body += bytes([kind] + line)
+    def chunk(k, d):
+        return struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0))
+            + chunk(b"IDAT", zlib.compress(body)) + chunk(b"IEND", b""))
+
+
+def test_png_bytes(spark):
+    pixels = np.random.default_rng(1).integers(0, 256, (10, 7, 3))
+    good = _filtered_png(pixels, [0, 1, 2, 3, 4, 4, 3, 2, 1, 0])
+    h, w, c, data = images.decode_png(good)
+    assert (h, w, c) == (10, 7, 3)
+    assert (np.frombuffer(data, np.uint8).reshape(10, 7, 3)[:, :, ::-1] == pixels).all()
+    assert images.decode_png(images.encode_png(range(12), 4, 3)) == (3, 4, 1, bytes(range(12)))
+    bad = [None, b"", b"text", good[:40], good[:-20], good[:50] + b"x" + good[51:], good[:8]]
+    d = spark.createDataFrame([(f"{i}", b) for i, b in enumerate([good, *bad])], "path string, content binary")
+    got = {r.path: r.data for r in images.decode_images(d).collect()}
+    assert len(got) == 8 and got["0"] == data and all(got[str(i)] is None for i in range(1, 8))
+
+
+def test_jpeg_and_damaged_files(spark):
+    d = _tmp()
+    java = spark._jvm
+    picture = java.java.awt.image.BufferedImage(40, 20, 1)
+    for x in range(40):
+        for y in range(20):
+            picture.setRGB(x, y, 0x404040 if x < 20 else 0xC0C0C0)
+    assert java.javax.imageio.ImageIO.write(picture, "jpg", java.java.io.File(f"{d}/half.jpg"))
+    with open(f"{d}/broken.jpg", "wb") as fh:
+        fh.write(b"\xff\xd8\xff no image")
+    got = images.pixel_vectors(images.read_images(spark, d), 4, 2).collect()
+    assert [r.path.split("/")[-1] for r in got] == ["half.jpg"]
+    assert np.allclose(got[0].pixels, [64, 64, 192, 192] * 2, atol=4)
+    assert [r.path.split("/")[-1] for r in images.damaged_images(spark, d).collect()] == ["broken.jpg"]
