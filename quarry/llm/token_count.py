@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 from .common import Shared, append_columns
 
 _LOADED: dict = {}
-_WORDS_KEPT = 400_000
-_LONGEST_KEPT = 48
+_BATCH_BYTES = 1 << 20
+_SPACE = " \t\n\r\x0b\x0c"
 
 
 def _library(definition):
-    """The tokenizer and the counts of words seen so far; kept for the worker's next task."""
+    """The tokenizer and whether it drops white space; kept for the worker's next task."""
     if definition.id not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -22,10 +22,27 @@ def _library(definition):
         t.no_truncation()
         t.no_padding()
         _LOADED.clear()
-        _LOADED[definition.id] = (t, {})
+        _LOADED[definition.id] = (t, drops_space(t))
     return _LOADED[definition.id]
 
 
+def drops_space(tokenizer) -> bool:
+    """Whether no token holds or depends on white space: the pre-tokenizer
+    leaves it out between and around words of all kinds, and no added token
+    holds or strips it. Only then is a place after white space stable."""
+    if tokenizer.pre_tokenizer is None:
+        return False
+    if any(t.lstrip or t.rstrip or any(c.isspace() for c in t.content) for t in tokenizer.get_added_tokens_decoder().values()):
+        return False
+    words = ["a", "B", "1", "!", "\u00e9", "\u4e2d", "'s", "x1"]
+    probe = "".join(gap + w for c in _SPACE for gap in (c, c + c, c + " ") for w in words) + " "
+    if tokenizer.normalizer is not None:
+        probe = tokenizer.normalizer.normalize_str(probe)
+    if not any(c.isspace() for c in probe):
+        return False
+    return not any(probe[k].isspace() for _, (i, j) in tokenizer.pre_tokenizer.pre_tokenize_str(probe) for k in range(i, j))
+
+
 class Chunk:
     """Tokens (start, end, id) of text[lo:hi], with offsets in the whole text."""
 
@@ -53,7 +70,7 @@ def stable_boundary(text: str, left: Chunk, right: Chunk, after: int, agree: int
     found = []
     for k in range(agree, len(a) - agree):
         p = a[k][0]
-        if p > after and text[p - 1] in " \t\n\r\x0b\x0c" and at[k] >= agree and \
+        if p > after and text[p - 1] in _SPACE and at[k] >= agree and \
                 all(at[k + d] == at[k] + d for d in range(-agree, agree)):
             found.append(p)
     return found[len(found) // 2] if found else None
@@ -86,41 +103,21 @@ def resync_count(tokenizer, text: str, chunk: int, overlap: int, agree: int = 4)
     return total + left.count(cut)
 
 
-def _count_words(library, texts: list[bytes]) -> list[int]:
-    """Tokens of each text, summed over its words between ASCII white space
-    (stable boundaries, see above); every new word is encoded once."""
-    tokenizer, known = library
-    out, words = [], [t.split() for t in texts]
-    once: dict[bytes, int] = {}
-    new = {w for text in words for w in text if w not in known}
-    order = list(new)
-    for lo in range(0, len(order), 4096):
-        part = order[lo:lo + 4096]
-        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                                          add_special_tokens=False)):
-            once[w] = len(e)
-    for text in words:
-        out.append(sum([known[w] if w in known else once[w] for w in text]))
-    if len(known) + len(once) > _WORDS_KEPT:
-        known.clear()
-    known.update((w, c) for w, c in list(once.items())[:_WORDS_KEPT] if len(w) <= _LONGEST_KEPT)
-    return out
-
-
 def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit: int = 2048,
-                 chunk: int = 65_536, overlap: int = 2_048) -> DataFrame:
+                 chunk: int = 8_192, overlap: int = 512) -> DataFrame:
     """All columns of ``docs`` plus n_bytes (UTF-8), n_tokens and over_limit
     (more than ``limit`` tokens). A column of ``docs`` with one of these names
     is replaced.
 
-    ``tokenizer_file`` is a JSON definition of the ``tokenizers`` library whose
-    pre-tokenizer drops white space; the driver reads it and broadcasts it (a
-    definition over 64 MB is refused). Counts are those of the library for the
-    whole text: no begin, end or added tokens, special strings in a text as by
-    its default, no truncation. Texts over ``chunk`` characters are encoded in
-    overlapping chunks (``resync_count``), so memory is bounded by a chunk;
-    shorter ones are summed over words at the same kind of boundary. Null is
-    empty: 0 bytes, 0 tokens.
+    ``tokenizer_file`` is a JSON definition of the ``tokenizers`` library; the
+    driver reads it and broadcasts it (a definition over 64 MB is refused).
+    Counts are those of the library for the whole text: no begin, end or added
+    tokens, special strings in a text as by its default, no truncation. Texts
+    over ``chunk`` characters are encoded in overlapping chunks
+    (``resync_count``), so memory is bounded by a chunk; shorter ones are
+    encoded whole. With a tokenizer that keeps white space no boundary is
+    proven stable (``drops_space``), so its texts are all encoded whole. Null
+    is empty: 0 bytes, 0 tokens.
     """
     if os.path.getsize(tokenizer_file) > 64 << 20:
         raise ValueError("tokenizer definition over 64 MB")
@@ -128,25 +125,30 @@ def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit
         definition = Shared(docs, f.read())
 
     def make():
-        library = _library(definition)
+        tokenizer, splice = _library(definition)
 
         def compute(raw: list) -> list[list]:
             raw = [r or b"" for r in raw]
             counts = [0] * len(raw)
-            short, size = [], 0
+            whole: list[tuple[int, str]] = []
+            size = 0
+
+            def encode():
+                for (k, _), e in zip(whole, tokenizer.encode_batch_fast([s for _, s in whole], add_special_tokens=False)):
+                    counts[k] = len(e)
+                whole.clear()
+
             for k, r in enumerate(raw):
-                if len(r) > chunk and len(s := r.decode("utf-8", "replace")) > chunk:
-                    counts[k] = resync_count(library[0], s, chunk, overlap)
-                else:
-                    short.append(k)
-                    size += len(r)
-                if size > 1 << 22:
-                    for i, c in zip(short, _count_words(library, [raw[i] for i in short])):
-                        counts[i] = c
-                    short, size = [], 0
-            if short:
-                for i, c in zip(short, _count_words(library, [raw[i] for i in short])):
-                    counts[i] = c
+                s = r.decode("utf-8", "replace")
+                if splice and len(s) > chunk:
+                    counts[k] = resync_count(tokenizer, s, chunk, overlap)
+                    continue
+                whole.append((k, s))
+                size += len(r)
+                if size > _BATCH_BYTES:
+                    encode()
+                    size = 0
+            encode()
             return [[len(r) for r in raw], counts, [c > limit for c in counts]]
         return compute
 
