@@ -32,14 +32,19 @@ class Shared:
     def value(self):
         return self._held.value
 
+    def drop(self):
+        """Frees it, once nothing that reads it can be computed again."""
+        self._held.destroy()
 
-def append_columns(df: DataFrame, arg: str, fields: str,
-                   make: Callable[[], Callable[[list], list[list]]]) -> DataFrame:
+
+def append_columns(df: DataFrame, arg: str, fields: str, make: Callable[[], Callable[..., list[list]]],
+                   also: tuple[str, ...] = ()) -> DataFrame:
     """All columns of ``df`` plus ``fields`` (DDL), computed in Arrow batches
     from the string column ``arg``.
 
     ``make()`` runs once per task and returns a function that maps a list of
-    UTF-8 byte strings (None for null) to one list per new field. A column of
+    UTF-8 byte strings (None for null) to one list per new field; the values of
+    the columns ``also`` follow as further lists. A column of
     ``df`` whose name equals a new field (case does not matter) is replaced.
     Spark bounds a batch by rows and bytes, so memory does not depend on the
     length of the table.
@@ -47,7 +52,7 @@ def append_columns(df: DataFrame, arg: str, fields: str,
     new = T.StructType.fromDDL(fields)
     taken = {f.name.lower() for f in new}
     keep = [i for i, c in enumerate(df.columns) if c.lower() not in taken]
-    at = df.columns.index(arg)
+    at, others = df.columns.index(arg), [df.columns.index(c) for c in also]
     schema = T.StructType([df.schema[i] for i in keep] + list(new))
     names = [f.name for f in schema]
     types = [to_arrow_type(f.dataType) for f in new]
@@ -55,7 +60,7 @@ def append_columns(df: DataFrame, arg: str, fields: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for b in batches:
-            out = compute(b.column(at).cast(pa.binary()).to_pylist())
+            out = compute(b.column(at).cast(pa.binary()).to_pylist(), *[b.column(i).to_pylist() for i in others])
             cols = [b.column(i) for i in keep] + [pa.array(v, type=t) for v, t in zip(out, types)]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
