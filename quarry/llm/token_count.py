@@ -10,11 +10,13 @@ from .common import Shared, append_columns
 
 _LOADED: dict = {}
 _BATCH_BYTES = 1 << 20
+_WORDS_KEPT = 400_000
+_LONGEST_KEPT = 48
 _SPACE = " \t\n\r\x0b\x0c"
 
 
 def _library(definition):
-    """The tokenizer and whether it drops white space; kept for the worker's next task."""
+    """The tokenizer, whether it drops white space, and the counts of words seen so far; kept for the worker's next task."""
     if definition.id not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
@@ -22,7 +24,7 @@ def _library(definition):
         t.no_truncation()
         t.no_padding()
         _LOADED.clear()
-        _LOADED[definition.id] = (t, drops_space(t))
+        _LOADED[definition.id] = (t, drops_space(t), {})
     return _LOADED[definition.id]
 
 
@@ -44,35 +46,51 @@ def drops_space(tokenizer) -> bool:
 
 
 class Chunk:
-    """Tokens (start, end, id) of text[lo:hi], with offsets in the whole text."""
+    """The encoding of text[lo:hi]; ``first`` is the first of its tokens that counts."""
 
     def __init__(self, tokenizer, text: str, lo: int, hi: int):
-        e = tokenizer.encode(text[lo:hi], add_special_tokens=False)
-        self.lo, self.hi = lo, hi
-        self.tokens = [(a + lo, b + lo, i) for (a, b), i in zip(e.offsets, e.ids)]
-
-    def count(self, lo: int, hi: int | None = None) -> int:
-        return sum(a >= lo and (hi is None or a < hi) for a, _, _ in self.tokens)
-
-
-def stable_boundary(text: str, left: Chunk, right: Chunk, after: int, agree: int) -> int | None:
-    """A position in the overlap at which the two encodings may be joined.
+        self.encoding = tokenizer.encode(text[lo:hi], add_special_tokens=False)
+        self.lo, self.hi, self.first, self.n = lo, hi, 0, len(self.encoding)
+
+    def from_place(self, at: int) -> int:
+        """The number of the first token that starts at ``at`` or later."""
+        for c in range(max(0, at - self.lo), self.hi - self.lo):
+            k = self.encoding.char_to_token(c)
+            if k is not None:
+                while k < self.n and self.encoding.token_to_chars(k)[0] + self.lo < at:
+                    k += 1
+                return k
+        return self.n
+
+    def tokens(self, i: int, j: int) -> list[tuple[int, int, int]]:
+        """(start, end, id) of the tokens i to j - 1, with offsets in the whole text."""
+        ids, out = self.encoding.ids, []
+        for k in range(i, j):
+            a, b = self.encoding.token_to_chars(k)
+            out.append((a + self.lo, b + self.lo, ids[k]))
+        return out
+
+
+def stable_boundary(text: str, left: Chunk, right: Chunk, agree: int) -> tuple[int, int] | None:
+    """Token numbers in ``left`` and ``right``, of one place in the overlap at
+    which the two encodings may be joined.
 
     The character before it is white space (the tokenizer's pre-tokenizer
     drops white space and no token, merge or composed character spans it, so
     tokens on either side do not depend on the other side), and ``agree``
     tokens on either side are the same in both encodings. The middle one of
-    those found, None without any.
+    those found, None without any. Only tokens of the overlap are looked at.
     """
-    a = [t for t in left.tokens if t[0] >= right.lo]
-    b = {t: k for k, t in enumerate(right.tokens)}
+    skip = max(left.first, left.from_place(right.lo))
+    a = left.tokens(skip, left.n)
+    b = {t: k for k, t in enumerate(right.tokens(0, right.from_place(left.hi)))}
     at = [b.get(t, -1) for t in a]
     found = []
     for k in range(agree, len(a) - agree):
         p = a[k][0]
-        if p > after and text[p - 1] in _SPACE and at[k] >= agree and \
+        if p > right.lo and text[p - 1] in _SPACE and at[k] >= agree and \
                 all(at[k + d] == at[k] + d for d in range(-agree, agree)):
-            found.append(p)
+            found.append((skip + k, at[k]))
     return found[len(found) // 2] if found else None
 
 
@@ -92,19 +110,41 @@ def resync_count(tokenizer, text: str, chunk: int, overlap: int, agree: int = 4)
             lo = left.hi - width
             if lo <= cut:
                 left = Chunk(tokenizer, text, left.lo, min(n, left.hi + max(chunk, left.hi - left.lo)))
+                left.first = left.from_place(cut) if cut else 0
                 break
             right = Chunk(tokenizer, text, lo, min(n, lo + max(chunk, 2 * width)))
-            p = stable_boundary(text, left, right, max(cut, lo), agree)
-            if p is not None:
-                total += left.count(cut, p)
-                left, cut = right, p
+            joined = stable_boundary(text, left, right, agree)
+            if joined is not None:
+                total += joined[0] - left.first
+                right.first = joined[1]
+                left, cut = right, right.tokens(joined[1], joined[1] + 1)[0][0]
                 break
             width *= 2
-    return total + left.count(cut)
+    return total + left.n - left.first
+
+
+def _count_words(tokenizer, known: dict, texts: list[bytes]) -> list[int]:
+    """Tokens of each text, summed over its words between ASCII white space
+    (stable boundaries, see above); every new word is encoded once."""
+    out, words = [], [t.split() for t in texts]
+    once: dict[bytes, int] = {}
+    new = {w for text in words for w in text if w not in known}
+    order = list(new)
+    for lo in range(0, len(order), 4096):
+        part = order[lo:lo + 4096]
+        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
+                                                          add_special_tokens=False)):
+            once[w] = len(e)
+    for text in words:
+        out.append(sum([known[w] if w in known else once[w] for w in text]))
+    if len(known) + len(once) > _WORDS_KEPT:
+        known.clear()
+    known.update((w, c) for w, c in list(once.items())[:_WORDS_KEPT] if len(w) <= _LONGEST_KEPT)
+    return out
 
 
 def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit: int = 2048,
-                 chunk: int = 8_192, overlap: int = 512) -> DataFrame:
+                 chunk: int = 8_192, overlap: int = 256) -> DataFrame:
     """All columns of ``docs`` plus n_bytes (UTF-8), n_tokens and over_limit
     (more than ``limit`` tokens). A column of ``docs`` with one of these names
     is replaced.
@@ -115,9 +155,9 @@ def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit
     tokens, special strings in a text as by its default, no truncation. Texts
     over ``chunk`` characters are encoded in overlapping chunks
     (``resync_count``), so memory is bounded by a chunk; shorter ones are
-    encoded whole. With a tokenizer that keeps white space no boundary is
-    proven stable (``drops_space``), so its texts are all encoded whole. Null
-    is empty: 0 bytes, 0 tokens.
+    summed over words between the same kind of boundaries. With a tokenizer
+    that keeps white space no boundary is proven stable (``drops_space``), so
+    its texts are all encoded whole. Null is empty: 0 bytes, 0 tokens.
     """
     if os.path.getsize(tokenizer_file) > 64 << 20:
         raise ValueError("tokenizer definition over 64 MB")
@@ -125,30 +165,29 @@ def token_counts(docs: DataFrame, tokenizer_file: str, text: str = "text", limit
         definition = Shared(docs, f.read())
 
     def make():
-        tokenizer, splice = _library(definition)
+        tokenizer, splice, known = _library(definition)
+
+        def count(texts: list[bytes]) -> list[int]:
+            if splice:
+                return _count_words(tokenizer, known, texts)
+            return [len(e) for e in tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts],
+                                                                add_special_tokens=False)]
 
         def compute(raw: list) -> list[list]:
             raw = [r or b"" for r in raw]
-            counts = [0] * len(raw)
-            whole: list[tuple[int, str]] = []
-            size = 0
-
-            def encode():
-                for (k, _), e in zip(whole, tokenizer.encode_batch_fast([s for _, s in whole], add_special_tokens=False)):
-                    counts[k] = len(e)
-                whole.clear()
-
+            counts, short, size = [0] * len(raw), [], 0
             for k, r in enumerate(raw):
-                s = r.decode("utf-8", "replace")
-                if splice and len(s) > chunk:
+                if splice and len(r) > chunk and len(s := r.decode("utf-8", "replace")) > chunk:
                     counts[k] = resync_count(tokenizer, s, chunk, overlap)
                     continue
-                whole.append((k, s))
+                short.append(k)
                 size += len(r)
                 if size > _BATCH_BYTES:
-                    encode()
-                    size = 0
-            encode()
+                    for i, c in zip(short, count([raw[i] for i in short])):
+                        counts[i] = c
+                    short, size = [], 0
+            for i, c in zip(short, count([raw[i] for i in short])):
+                counts[i] = c
             return [[len(r) for r in raw], counts, [c > limit for c in counts]]
         return compute
 
