@@ -88,7 +88,8 @@ def stable_boundary(text: str, left: Chunk, right: Chunk, agree: int) -> tuple[i
     found = []
     for k in range(agree, len(a) - agree):
         p = a[k][0]
-        if p > right.lo and text[p - 1] in _SPACE and at[k] >= agree and \
+        # the first token of its place: a character may be several tokens
+        if p > right.lo and a[k - 1][0] < p and text[p - 1] in _SPACE and at[k] >= agree and \
                 all(at[k + d] == at[k] + d for d in range(-agree, agree)):
             found.append((skip + k, at[k]))
     return found[len(found) // 2] if found else None

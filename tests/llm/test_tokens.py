@@ -24,3 +24,14 @@ def test_equal_to_library(spark, name, splices):
         for i, s in enumerate(texts):
             assert got[i].n_tokens == len(t.encode(s or "", add_special_tokens=False)), (i, chunk)
             assert got[i].n_bytes == len((s or "").encode()) and got[i].over_limit == (got[i].n_tokens > 2048)
+
+
+def test_splice_of_mixed_texts():
+    """Small chunks and overlaps, so that splices, wider overlaps and longer chunks all occur."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(Q.tokenizer_path("word_bpe_49k.json"))
+    rng = random.Random(1)
+    for _ in range(2000):
+        text = "".join(rng.choice(PIECES) for _ in range(rng.randrange(5, 120)))
+        chunk, overlap = rng.choice([(64, 8), (40, 6), (100, 30), (700, 60)])
+        assert T.resync_count(t, text, chunk, overlap) == len(t.encode(text, add_special_tokens=False)), (text, chunk)
