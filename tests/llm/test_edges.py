@@ -302,4 +302,5 @@ def test_pipeline_stages(spark, tmp_path):
             out.collect()
     once = corpus_pipeline.near_duplicates(spark, docs(spark, extra=False), "").collect()
     ids = [r.doc_id for r in once if r.doc_id is not None]
-    assert len(ids) == len(set(ids)) and sum(r.doc_id is None for r in once) == 2
+    # the row without id and text is a copy of document 0, whose text is null too; the other one is like no document
+    assert len(ids) == len(set(ids)) and 0 in ids and [r.text for r in once if r.doc_id is None] == ["no id here"]
