@@ -51,13 +51,25 @@ def token_stats(docs: DataFrame, tokens_expr, extra_filters: dict | None = None)
     return per.agg(*aggs)
 
 
+#: Bytes of text whose terms one task counts.
+TASK_TEXT = 8 << 20
+
+
+def text_parts(docs: DataFrame, text: str = "text", task_bytes: int = TASK_TEXT) -> int:
+    """Tasks for the texts of ``docs``: one for each ``task_bytes``, and no fewer than the session's cores."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(-(-size // task_bytes), docs.sparkSession.sparkContext.defaultParallelism)
+
+
 def doc_terms(docs: DataFrame, key: str, tokens_expr=None, kind: str | None = None,
               text: str = "text") -> DataFrame:
     """(key, term, tf): term frequency per document, aggregated map-side.
     Give either an array column ``tokens_expr`` or a tokenizer ``kind``."""
     if kind is not None:
-        # texts are dealt by key once; the count per (key, term) then needs no shuffle of its own
-        toks = explode_tokens(docs.select(key, text).repartition(key), key, text, kind)
+        # texts are dealt by key once; the count per (key, term) then needs no shuffle of its own. The number of
+        # tasks follows the bytes, and adaptive execution does not join them, so the counts of a task stay small
+        texts = docs.select(key, text)
+        toks = explode_tokens(texts.repartition(text_parts(texts, text), key), key, text, kind)
     else:
         toks = docs.select(key, F.explode(tokens_expr).alias("term"))
     return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))

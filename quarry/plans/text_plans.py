@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import textops
 from ..operators.common import top_k
 from ..sources import Tables
+from ..sources.files import materialise
 from .catalog import register
 
 # DuckDB forms of the tokenizers, shared by the oracles below.
@@ -33,16 +34,19 @@ def _pruned_tf(docs):
     """(doc_id, term, tf, df) of the full tokenizer without rare terms
     (corpus count < 2), written once to the shared checkpoint folder.
 
-    One aggregate gives each term's corpus count and document frequency; one
-    join on term keeps the frequent terms and carries df along, so pruning
-    and IDF share a single shuffle of the aggregated (doc, term) rows. Every
+    The (doc, term) counts are written first, so texts are tokenised once. One
+    aggregate gives each term's corpus count and document frequency; one
+    join on term keeps the frequent terms and carries df along. Every
     later job (vocabulary size, IDF, model fits) scans the written table
     instead of re-tokenizing, and a lost executor re-reads files.
     """
-    from ..sources.files import materialise
-    tf = textops.doc_terms(docs, "doc_id", kind="normalised")
-    stats = textops.corpus_counts(tf).filter(F.col("n") >= T.RARE_BELOW).select("term", "df")
-    return materialise(tf.join(stats, "term"), "pruned-terms")
+    tf = materialise(textops.doc_terms(docs, "doc_id", kind="normalised"), "doc-terms")
+    return materialise(tf.join(_vocabulary(tf), "term"), "pruned-terms")
+
+
+def _vocabulary(tf):
+    """(term, df) of the terms that are not rare (corpus count < 2)."""
+    return textops.corpus_counts(tf).filter(F.col("n") >= T.RARE_BELOW).select("term", "df")
 
 
 def _tfidf(t):
@@ -190,7 +194,8 @@ def tfidf_apply_new(spark, sf_dir):
     from ..operators import tune
     from ..operators.common import attach_row
     train_docs, new_docs = tune.hash_split(Tables(spark, sf_dir).documents, "doc_id", 0.2)
-    vocabulary = _pruned_tf(train_docs).select("term", "df").distinct()
+    # one row a term straight from the counts: the pruned (doc, term) rows are not needed here
+    vocabulary = _vocabulary(textops.doc_terms(train_docs, "doc_id", kind="normalised"))
     n_fit = train_docs.agg(F.count(F.lit(1)).alias("_N"))
     known = textops.doc_terms(new_docs, "doc_id", kind="normalised").join(vocabulary, "term")
     w = attach_row(known, n_fit).select(
