@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import word_vectors as W
 from ..operators.common import top_k
-from ..functions import text as T
 from ..sources import Tables
+from ..sources.files import materialise
 from .catalog import register
 from .text_plans import _NORM
 
@@ -25,10 +25,9 @@ info AS (SELECT word, context, n, greatest(0.0, ln(CAST(n AS DOUBLE) * sum(n) OV
              / (CAST(sum(n) OVER (PARTITION BY word) AS DOUBLE) * sum(n) OVER (PARTITION BY context)))) AS ppmi FROM near)"""
 
 
-def _most_frequent(docs) -> str | None:
-    words = docs.select(F.explode(T.normalised_tokens(F.col("text"))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    first = top_k(words, [F.desc("n"), F.asc("w")], 1).first()
-    return first["w"] if first else None
+def _most_frequent(counts) -> str | None:
+    first = top_k(counts, [F.desc("n"), F.asc("word")], 1).first()
+    return first["word"] if first else None
 
 
 @register("word_information", f"""
@@ -38,8 +37,9 @@ SELECT word, context, n, round(ppmi, 6) AS ppmi FROM info
 def word_information(spark, sf_dir):
     """Counts and positive information of every (word, context word) that stand within the window."""
     docs = Tables(spark, sf_dir).documents
-    known = W.context_words(docs, "text", CONTEXTS)
-    info = W.positive_information(W.cooccurrence(docs, "text", known, WINDOW, MIN_COUNT))
+    counts = W.word_counts(docs, "text")
+    known = W.context_words(docs, "text", CONTEXTS, counts)
+    info = W.positive_information(materialise(W.cooccurrence(docs, "text", known, WINDOW, MIN_COUNT, counts), "near-counts"))
     return info.select("word", "context", "n", F.round("ppmi", 6).alias("ppmi"))
 
 
@@ -57,6 +57,7 @@ def word_neighbours(spark, sf_dir):
     """The 20 nearest words of the most frequent one by the cosine of word
     vectors of full width, which the SQL takes from the information itself."""
     docs = Tables(spark, sf_dir).documents
-    vectors = W.word_vectors(docs, "text", CONTEXTS, CONTEXTS, WINDOW, MIN_COUNT)
-    near = W.nearest_words(vectors, _most_frequent(docs) or "", 20)
+    counts = W.word_counts(docs, "text")
+    vectors = W.word_vectors(docs, "text", CONTEXTS, CONTEXTS, WINDOW, MIN_COUNT, counts=counts)
+    near = W.nearest_words(vectors, _most_frequent(counts) or "", 20)
     return near.select("query", "word", F.round("similarity", 6).alias("similarity"))

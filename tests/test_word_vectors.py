@@ -67,3 +67,22 @@ def test_nearest_and_empty(spark, docs):
     assert W.word_vectors(docs.filter("false"), "text", 4, 4).count() == 0
     with pytest.raises(ValueError):
         W.context_words(docs, "text", 0)
+
+
+def test_pairs_are_counted_in_tasks(spark, docs):
+    """No pair leaves a task uncounted: the plan generates no rows from token lists."""
+    known = W.context_words(docs, "text", 3)
+    plan = W.cooccurrence(docs, "text", known, 2, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "MapInArrow" in plan
+
+
+def test_windows_of_runs_of_texts(spark, monkeypatch):
+    """Digits, stop words, short words and empty tokens leave the windows; a text longer than a run is not cut."""
+    texts = ["red, the blue a1 green x RED!", "  ", "blue red " * 40, None, "green"]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    known = W.context_words(rows, "text", 2)
+    whole = sorted(W.cooccurrence(rows, "text", known, 2, 1).collect())
+    monkeypatch.setattr(W, "STEP", 3)
+    assert sorted(W.cooccurrence(rows, "text", known, 2, 1).collect()) == whole
+    n = {(r["word"], r["context"]): r["n"] for r in whole}
+    assert n["green", "red"] == 2 and n["green", "blue"] == 1 and n["blue", "red"] == 2 + 2 * 40 - 1
