@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import encode, metrics, trees, tune
 from ..operators.common import attach_row
 from ..sources import Tables
+from ..sources.files import materialise
 from .catalog import register
 from .text_plans import _pruned_tf
 
@@ -72,15 +73,16 @@ def hashing_tfidf_nb(spark, sf_dir):
     # a term as often as the text holds it; texts without a kept term stay, with none
     kept = (_pruned_tf(d).groupBy("doc_id")
             .agg(F.flatten(F.collect_list(F.array_repeat("term", F.col("tf").cast("int")))).alias("tokens")))
-    docs = (d.join(lab, "lang").join(kept, "doc_id", "left")
-            .select("doc_id", F.col("label").cast("double").alias("label"),
-                    F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")))
+    # written once: IDF, naive Bayes and the predictions each pass over the token lists
+    docs = materialise(d.select("doc_id", "lang").join(lab, "lang").join(kept, "doc_id", "left")
+                       .select("doc_id", F.col("label").cast("double").alias("label"),
+                               F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")), "doc-tokens")
     train, test = tune.hash_split(docs, "doc_id", 0.2)
     pipe = Pipeline(stages=[HashingTF(numFeatures=1 << 18, inputCol="tokens", outputCol="tf"),
                             IDF(inputCol="tf", outputCol="tfidf"),
                             NaiveBayes(featuresCol="tfidf", labelCol="label", smoothing=0.1)])
     model = pipe.fit(train)
-    pred = model.transform(test).select("prediction", "label")
+    pred = materialise(model.transform(test).select("prediction", "label"), "hashed-predictions")
     return attach_row(metrics.accuracy(pred), metrics.weighted_f_measure(pred))
 
 
@@ -90,7 +92,8 @@ def word2vec_synonyms(spark, sf_dir):
     most frequent token (cosine on the learned vectors)."""
     from pyspark.ml.feature import Word2Vec
     d = Tables(spark, sf_dir).documents
-    toks = d.select(T.normalised_tokens(F.col("text")).alias("tokens"))
+    # tokenised once: the fit passes over the token lists twice, the most frequent word once
+    toks = materialise(d.select(T.normalised_tokens(F.col("text")).alias("tokens")), "token-lists")
     model = Word2Vec(vectorSize=100, maxIter=1, seed=42, minCount=5, inputCol="tokens", outputCol="_v",
                      numPartitions=spark.sparkContext.defaultParallelism).fit(toks)
     top = (toks.select(F.explode("tokens").alias("w")).groupBy("w").count()
