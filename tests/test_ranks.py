@@ -60,3 +60,22 @@ def test_users_without_truth_score_one(spark):
     users = spark.createDataFrame([(1,), (2,), (3,), (3,)], "user long")
     got = metrics.average_precision(truth, ranked, "user", "item", "rank", 5, users)
     assert {r["user"]: r["ap"] for r in got.collect()} == {1: 1.0, 2: 0.0, 3: 1.0}
+
+
+def test_items_are_not_copied_for_lists(spark, monkeypatch):
+    """Lists and items meet by rounds: what is written is one row a list, whatever the number of items or lists."""
+    written = {}
+    plain = recommend.materialise
+
+    def counted(df, name):
+        out = plain(df, name)
+        written.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(recommend, "materialise", counted)
+    rng = np.random.default_rng(3)
+    users = [(u, np.float32(rng.normal(size=5)).tolist()) for u in range(20)]
+    items = [(i, np.float32(rng.normal(size=5)).tolist()) for i in range(100)]
+    model = SimpleNamespace(userFactors=spark.createDataFrame(users, FACTORS), itemFactors=spark.createDataFrame(items, FACTORS))
+    truth = spark.createDataFrame([(u, i) for u in range(20) for i in range(u, u + 3)], "user int, item int")
+    assert recommend.rated_ranks(model, truth, block=8, rows=40).count() == 60
+    assert written == {"items-by-id": [100], "rank-lists": [20, 20, 20]}
