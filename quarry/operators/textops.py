@@ -80,6 +80,20 @@ def corpus_counts(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
 
 
+#: (doc, term) counts that one task joins with their terms.
+TASK_COUNTS = 4 << 20
+
+
+def join_terms(tf: DataFrame, terms: DataFrame, parts: int) -> DataFrame:
+    """``tf`` with the columns of ``terms`` (one row a term), joined on term in ``parts`` tasks.
+
+    A task holds its share of ``terms`` in a hash table and streams its counts past
+    it: a sort-merge join would sort them, and a sort's memory grows with the counts.
+    ``parts`` should follow the counts, so that the share stays small as well.
+    """
+    return tf.repartition(parts, "term").join(terms.repartition(parts, "term").hint("shuffle_hash"), "term")
+
+
 def prune_rare(tf: DataFrame, counts: DataFrame, rare_below: int) -> DataFrame:
     """Drop terms whose corpus count is below ``rare_below`` with a left anti
     join against the rare set (never collected to the driver)."""

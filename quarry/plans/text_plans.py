@@ -36,12 +36,13 @@ def _pruned_tf(docs):
 
     The (doc, term) counts are written first, so texts are tokenised once. One
     aggregate gives each term's corpus count and document frequency; one
-    join on term keeps the frequent terms and carries df along. Every
-    later job (vocabulary size, IDF, model fits) scans the written table
+    join on term, in tasks of bounded counts and without a sort, keeps the
+    frequent terms and carries df along. Every later job (vocabulary size, IDF, model fits) scans the written table
     instead of re-tokenizing, and a lost executor re-reads files.
     """
     tf = materialise(textops.doc_terms(docs, "doc_id", kind="normalised"), "doc-terms")
-    return materialise(tf.join(_vocabulary(tf), "term"), "pruned-terms")
+    parts = max(-(-tf.count() // textops.TASK_COUNTS), docs.sparkSession.sparkContext.defaultParallelism)
+    return materialise(textops.join_terms(tf, _vocabulary(tf), parts), "pruned-terms")
 
 
 def _vocabulary(tf):
@@ -197,7 +198,7 @@ def tfidf_apply_new(spark, sf_dir):
     # one row a term straight from the counts: the pruned (doc, term) rows are not needed here
     vocabulary = _vocabulary(textops.doc_terms(train_docs, "doc_id", kind="normalised"))
     n_fit = train_docs.agg(F.count(F.lit(1)).alias("_N"))
-    known = textops.doc_terms(new_docs, "doc_id", kind="normalised").join(vocabulary, "term")
+    known = textops.join_terms(textops.doc_terms(new_docs, "doc_id", kind="normalised"), vocabulary, textops.text_parts(new_docs))
     w = attach_row(known, n_fit).select(
         "doc_id", (F.col("tf") * F.log((F.col("_N") + 1) / (F.col("df") + 1))).alias("w"))
     sums = w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 6).alias("weight_sum"),
