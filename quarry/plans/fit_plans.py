@@ -57,19 +57,19 @@ def als_descent(spark, sf_dir):
     """Three rounds at rank 10: no half step raises the penalised loss, and the
     error ends below that of the items' mean ratings."""
     reg = 0.01
-    known = als.known_ratings(Tables(spark, sf_dir).ratings())
-    items = als.hashed_start(known.select(F.col("item").alias("id")).distinct(), 10)
-    seen, users = [], None
-    for _ in range(3):
-        users = materialise(als.half_step(known, items, "user", 10, reg), "user-factors")
-        seen.append(als.loss(known, users, items, reg).first())
-        items = materialise(als.half_step(known, users, "item", 10, reg), "item-factors")
-        seen.append(als.loss(known, users, items, reg).first())
+    with als.known_ratings(Tables(spark, sf_dir).ratings()) as known:
+        items = als.hashed_start(known.rows.select(F.col("item").alias("id")).distinct(), 10)
+        seen, users = [], None
+        for _ in range(3):
+            users = materialise(als.half_step(known, items, "user", 10, reg), "user-factors")
+            seen.append(als.loss(known, users, items, reg).first())
+            items = materialise(als.half_step(known, users, "item", 10, reg), "item-factors")
+            seen.append(als.loss(known, users, items, reg).first())
     total = [(r["sq_error"] or 0.0) + (r["penalty"] or 0.0) for r in seen]
     falls = all(b <= a * (1 + 1e-9) for a, b in zip(total, total[1:]))
-    spread = known.groupBy("item").agg((F.var_pop("rating") * F.count(F.lit(1))).alias("ss")).agg(F.sum("ss")).first()[0] or 0.0
-    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user").alias("n_users"),
-                     F.count_distinct("item").alias("n_items")).select(
+    spread = known.rows.groupBy("item").agg((F.var_pop("rating") * F.count(F.lit(1))).alias("ss")).agg(F.sum("ss")).first()[0] or 0.0
+    return known.rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user").alias("n_users"),
+                          F.count_distinct("item").alias("n_items")).select(
         "*", F.lit(falls).alias("falls"), F.lit((seen[-1]["sq_error"] or 0.0) <= spread + 1e-9).alias("below_item_means"))
 
 
