@@ -45,10 +45,11 @@ def write_by_key(df: DataFrame, key: str, path: str) -> str:
 def key_folders(spark: SparkSession, path: str, schema: StructType, key: str) -> list[str]:
     """Folders of ``write_by_key`` in ascending order of the key, null first:
     one name per key value on the driver, no data rows."""
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+    folder = F.regexp_replace("file", "/[^/]*$", "")
     rows = spark.read.schema(StructType([*schema.fields, StructField(_FOLDER, StringType())])).parquet(path)
     value = F.col(_FOLDER).cast(schema[key].dataType)
-    names = rows.select(value.alias("value"), folder.alias("folder")).distinct()
+    files = rows.select(value.alias("value"), F.col("_metadata.file_path").alias("file")).distinct()   # cut once a file, not a row
+    names = files.select("value", folder.alias("folder")).distinct()
     return [r["folder"] for r in names.orderBy(F.col("value").asc_nulls_first(), "folder").collect()]
 
 

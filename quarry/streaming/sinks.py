@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from .replay import run_to_end
@@ -24,6 +25,11 @@ def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def batch_rows(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """The rows that ``store_batch`` wrote under one batch, without reading the others."""
+    return stored(spark, path, schema).filter(F.col("batch_id") == batch_id)
+
+
 def to_memory(stream: DataFrame, mode: str = "append", trigger: dict | None = None) -> DataFrame:
     """All rows of a stream as a driver-side table; for small results such as one row per window."""
     name = f"stream_{uuid.uuid4().hex[:12]}"

@@ -59,6 +59,18 @@ def test_windows_equal_plain_replay(spark, parts, trigger):
     assert everything.agg(F.sum("n_purchases")).first()[0] == p.filter("ts is not null").count() > sum(v[0] for v in want.values())
 
 
+def test_state_has_no_rows_of_users_or_products(spark):
+    """State is one row per window and file while a window is open; its users and products are counted when it closes."""
+    rows = [(i, f"p{i}", 1.0, dt.datetime(2024, 1, 1 + i % 20), i % 20 // 10) for i in range(600)]
+    p, run = spark.createDataFrame(rows, SCHEMA), replay.new_run_dir(spark, "small-state")
+    out = windows.windowed_stats(spark, p, "arrival", "10 days", "1 day", run_dir=run)
+    assert {r["window_start"]: (r["n_purchases"], r["n_users"], r["top_product"]) for r in out.collect()} == {
+        k: (v[0], v[1], v[3]) for k, v in expected([r.asDict() for r in p.collect()], 10, 1).items()} != {}
+    operators = [r["operatorId"] for r in spark.read.format("state-metadata").load(f"{run}/checkpoint").collect()]
+    held = sum(spark.read.format("statestore").option("operatorId", k).load(f"{run}/checkpoint").count() for k in operators)
+    assert 0 < held <= 20
+
+
 def test_large_keys_are_split(spark):
     """A key that holds most rows is written by several tasks, a small one by one."""
     path = replay.new_run_dir(spark, "split")
