@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import als, cluster, tune
 from ..sources import Tables
-from ..sources.files import materialise
+from ..sources.files import discard, materialise
 from .catalog import register
 from .cluster_plans import LLOYD_ITERS
 from .model_plans import _BUCKET_SQL
@@ -60,11 +60,15 @@ def als_descent(spark, sf_dir):
     with als.known_ratings(Tables(spark, sf_dir).ratings()) as known:
         items = als.hashed_start(known.rows.select(F.col("item").alias("id")).distinct(), 10)
         seen, users = [], None
-        for _ in range(3):
+        for k in range(3):
+            old = [users, items] if k else []
             users = materialise(als.half_step(known, items, "user", 10, reg), "user-factors")
             seen.append(als.loss(known, users, items, reg).first())
             items = materialise(als.half_step(known, users, "item", 10, reg), "item-factors")
             seen.append(als.loss(known, users, items, reg).first())
+            known.release()
+            for f in old:
+                discard(f)
     total = [(r["sq_error"] or 0.0) + (r["penalty"] or 0.0) for r in seen]
     falls = all(b <= a * (1 + 1e-9) for a, b in zip(total, total[1:]))
     spread = known.rows.groupBy("item").agg((F.var_pop("rating") * F.count(F.lit(1))).alias("ss")).agg(F.sum("ss")).first()[0] or 0.0
